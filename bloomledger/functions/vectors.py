@@ -32,8 +32,6 @@ def trigram_vector(name: Column, dimensions: int = DIMENSIONS) -> Column:
         trigrams(name),
         lambda t: F.conv(F.substring(F.md5(t.cast("binary")), 1, 6), 16, 10).cast("int") % dimensions,
     )
-    # Slots are put in order once; each count is then the distance between the
-    # slot's first place and the next one.
     return F.when(
         name.isNotNull(),
         F.transform(
