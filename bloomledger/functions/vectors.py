@@ -32,12 +32,17 @@ def trigram_vector(name: Column, dimensions: int = DIMENSIONS) -> Column:
         trigrams(name),
         lambda t: F.conv(F.substring(F.md5(t.cast("binary")), 1, 6), 16, 10).cast("int") % dimensions,
     )
-    return F.when(
-        name.isNotNull(),
-        F.transform(
+
+    def counts(found: Column) -> Column:
+        return F.transform(
             F.sequence(F.lit(0), F.lit(dimensions - 1)),
-            lambda d: F.size(F.filter(slots, lambda s: s == d)).cast("float"),
-        ),
+            lambda d: F.size(F.filter(found, lambda s: s == d)).cast("float"),
+        )
+
+    # The one-element array binds the slots, which are then hashed once per name
+    # and not once per dimension.
+    return F.when(
+        name.isNotNull(), F.get(F.transform(F.array(slots), counts), F.lit(0))
     )
 
 

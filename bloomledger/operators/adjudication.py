@@ -48,14 +48,19 @@ def name_words(name: Column) -> Column:
     )
 
 
+def _constant(words: tuple[str, ...]) -> Column:
+    """Array of the words; a constant that the optimizer splits once."""
+    return F.split(F.lit(" ".join(words)), " ")
+
+
 def _of(words: Column, listed: tuple[str, ...]) -> Column:
-    return F.array_intersect(words, F.array(*[F.lit(w) for w in listed]).cast("array<string>"))
+    return F.array_intersect(words, _constant(listed))
 
 
 def judge(candidates: DataFrame, rules: MatchRules = MatchRules()) -> DataFrame:
     """Adds `overlap` and `accepted` to (`query_name`, `candidate_name`) rows."""
     generic = tuple(dict.fromkeys(rules.color_words + rules.type_words + rules.subtype_words))
-    generic_words = F.array(*[F.lit(w) for w in generic]).cast("array<string>")
+    generic_words = _constant(generic)
     words = candidates.withColumns(
         {
             "_q": name_words(F.col("query_name")),

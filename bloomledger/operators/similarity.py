@@ -78,10 +78,6 @@ def _best_of_block(k: int):
     return best
 
 
-def _parts(rows: DataFrame, id_column: str, per_part: int) -> int:
-    return max(1, math.ceil(rows.select(id_column).count() / per_part))
-
-
 def top_k(
     queries: DataFrame,
     catalog: DataFrame,
@@ -98,12 +94,13 @@ def top_k(
     Both inputs are counted to size the grid, so they are best stored tables
     (`sinks.vector_store`), where a count reads file footers only.
     """
-    queries = queries.filter(F.col("query_vector").isNotNull())
-    catalog = catalog.filter(F.col("catalog_vector").isNotNull())
     cores = queries.sparkSession.sparkContext.defaultParallelism
     n_queries = queries.select("query_id").count()
+    n_catalog = catalog.select("catalog_id").count()
     chunks = max(1, math.ceil(n_queries / chunk_rows), min(cores, n_queries // 256))
-    blocks = _parts(catalog, "catalog_id", block_rows)
+    blocks = max(1, math.ceil(n_catalog / block_rows))
+    queries = queries.filter(F.col("query_vector").isNotNull())
+    catalog = catalog.filter(F.col("catalog_vector").isNotNull())
 
     def grid(rows: DataFrame, own: str, parts: int, other: str, others: int, *columns: str):
         return rows.select(
