@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bloomledger import fixed_values as fv
+from bloomledger.sources.files import spread_small_scan
 
 
 @dataclass(frozen=True)
@@ -30,8 +31,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table that heavy work per row follows."""
+    return spread_small_scan(table(spark, sf_dir, name))
+
+
 def lines_with_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread_table(spark, sf_dir, "lineitem")
     parts = table(spark, sf_dir, "part")
     return lines.join(parts, lines["l_partkey"] == parts["p_partkey"])
 

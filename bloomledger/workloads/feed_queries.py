@@ -21,6 +21,7 @@ from bloomledger.workloads.common import (
     PRICE_TEXT,
     Query,
     lines_with_parts,
+    spread_table,
     sql_aggressive_clean,
     sql_merged_or_range,
     sql_round_cents,
@@ -197,7 +198,7 @@ _PART_PAGE = f"""'<html><body><div id="PageText"><form><table><tr><td>search</td
 
 
 def html_products(spark, sf_dir):
-    pages = table(spark, sf_dir, "part").select(F.expr(_PAGE_URL).alias("url"), F.expr(_PART_PAGE).alias("html"))
+    pages = spread_table(spark, sf_dir, "part").select(F.expr(_PAGE_URL).alias("url"), F.expr(_PART_PAGE).alias("html"))
     context = table(spark, sf_dir, "part").select(
         F.expr(_PAGE_URL).alias("url"), F.col("p_type").alias("product_group"), F.col("p_brand").alias("color")
     )

@@ -8,7 +8,7 @@ from bloomledger import fixed_values as fv
 from bloomledger.functions import measures as ms
 from bloomledger.functions import prices as pr
 from bloomledger.operators.conformers import without_price
-from bloomledger.workloads.common import PRICE_TEXT, Query, sql_round_cents, table
+from bloomledger.workloads.common import PRICE_TEXT, Query, spread_table, sql_round_cents, table
 
 _KEY = ["l_orderkey", "l_linenumber"]
 
@@ -19,7 +19,7 @@ _OFFERS = f"""CAST(l_quantity AS INT) || ' @ $' || {PRICE_TEXT} || ', '
 
 
 def best_offer(spark, sf_dir):
-    lines = table(spark, sf_dir, "lineitem").select(*_KEY, F.expr(_OFFERS).alias("offers"))
+    lines = spread_table(spark, sf_dir, "lineitem").select(*_KEY, F.expr(_OFFERS).alias("offers"))
     found = lines.select(*_KEY, ms.quantity_prices(F.col("offers")).alias("parsed"))
     best = found.select(*_KEY, F.size("parsed").cast("bigint").alias("n_offers"), pr.best_value(F.col("parsed")).alias("b"))
     return best.select(*_KEY, "n_offers", F.col("b.qty").alias("qty"), F.col("b.price").alias("price"))

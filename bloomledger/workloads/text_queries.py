@@ -20,6 +20,7 @@ from bloomledger.workloads.common import (
     sql_stem_length,
     sql_stems_per_unit,
     sql_title_case,
+    spread_table,
     table,
 )
 
@@ -47,7 +48,7 @@ _ANY_BLANK = (
 
 
 def clean_safe(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs = spread_table(spark, sf_dir, "documents")
     return docs.select("doc_id", tx.safe_clean(F.col("text")).alias("clean_text"))
 
 
@@ -57,7 +58,7 @@ FROM documents"""
 
 
 def word_dedup(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs = spread_table(spark, sf_dir, "documents")
     words = tx.distinct_words(F.col("text"))
     return docs.select(
         "doc_id",
