@@ -19,7 +19,7 @@ Vectoriser = Callable[[Column], Column]
 def vectorise(names: DataFrame, name: str = "product_name", vectoriser: Vectoriser = trigram_vector) -> DataFrame:
     """`name`, `vector` of each distinct name; vectors may also come from elsewhere."""
     distinct = names.select(F.col(name).alias("name")).filter(F.col("name").isNotNull()).distinct()
-    return distinct.withColumn("vector", vectoriser(F.col("name")))
+    return distinct.withColumn("vector", vectoriser(F.col("name")).cast("array<float>"))
 
 
 def candidates(query_vectors: DataFrame, catalog_vectors: DataFrame, k: int = fv.CANDIDATES_PER_NAME) -> DataFrame:

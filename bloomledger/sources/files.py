@@ -47,7 +47,7 @@ def read_mart(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 def read_landed(spark: SparkSession, path: str) -> DataFrame:
     """Landed payload files, one row each: `path`, `payload`."""
-    return spark.read.option("wholetext", True).text(path).select(
+    return spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("path"), F.col("value").alias("payload")
     )
 

@@ -158,7 +158,7 @@ def own_catalog(spark, sf_dir):
 def vectorise_names(spark, sf_dir):
     """Non-zero slots of every name's vector."""
     vectors = mt.vectorise(seller_products(spark, sf_dir))
-    slots = vectors.select("name", F.posexplode("vector").alias("slot", "n"))
+    slots = vectors.select("name", F.posexplode_outer("vector").alias("slot", "n"))
     return slots.filter(F.col("n") != 0).select("name", "slot", F.col("n").cast("int").alias("n"))
 
 
