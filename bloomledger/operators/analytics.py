@@ -25,9 +25,10 @@ def with_mapping(prices: DataFrame, mapping: DataFrame, key: str = "competitor_p
 def unmapped_products(prices: DataFrame, mapping: DataFrame, key: str = "competitor_product_id") -> DataFrame:
     """Product ids that have a price but no mapping yet.
 
-    Ids are made distinct first, so the join sees each product once.
+    Ids of both sides are made distinct first, by partial aggregates, so the join
+    sees each product once.
     """
-    return prices.select(key).distinct().join(mapping.select(key), key, "left_anti")
+    return prices.select(key).distinct().join(mapping.select(key).distinct(), key, "left_anti")
 
 
 # --- price reports -----------------------------------------------------------

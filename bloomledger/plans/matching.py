@@ -14,6 +14,7 @@ from bloomledger.operators.adjudication import MatchRules, adjudicate
 from bloomledger.operators.similarity import top_k
 
 Vectoriser = Callable[[Column], Column]
+Decider = Callable[[DataFrame], DataFrame]
 
 
 def vectorise(names: DataFrame, name: str = "product_name", vectoriser: Vectoriser = trigram_vector) -> DataFrame:
@@ -79,15 +80,20 @@ def match_products(
     k: int = fv.CANDIDATES_PER_NAME,
     query_vectors: DataFrame | None = None,
     catalog_vectors: DataFrame | None = None,
+    decide: Decider | None = None,
 ) -> DataFrame:
     """`competitor_product_id`, `competitor`, `matched_name`, `variety_key`.
 
     products: `competitor_product_id`, `product_name`; catalog: `product_name`,
-    `variety`.  Stored vectors can be given instead of computing them.
+    `variety`.  Both are read more than once, so they are best stored tables.
+    Stored vectors can be given instead of computing them, and `decide` replaces
+    the rules: it turns candidate rows into (`query_name`, `matched_name`).
     """
     queries = vectorise(products) if query_vectors is None else query_vectors
     known = vectorise(catalog) if catalog_vectors is None else catalog_vectors
-    return assemble(products, adjudicate(candidates(queries, known, k), rules), catalog)
+    found = candidates(queries, known, k)
+    decisions = adjudicate(found, rules) if decide is None else decide(found)
+    return assemble(products, decisions, catalog)
 
 
 def match_yield(matches: DataFrame) -> DataFrame:
