@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -10,16 +12,22 @@ from bloomledger.functions.text import collapse_blanks
 DIMENSIONS = 256
 
 
+def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body(value)` with the value evaluated once, however often body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def trigrams(name: Column) -> Column:
     """Character trigrams of the lower-cased name, with a blank at both ends."""
     padded = F.concat(F.lit(" "), F.lower(collapse_blanks(name)), F.lit(" "))
-    return F.when(
-        F.length(padded) > 2,
-        F.transform(
-            F.sequence(F.lit(1), F.length(padded) - 2),
-            lambda i: padded.substr(i, F.lit(3)),
-        ),
-    ).otherwise(F.array().cast("array<string>"))
+
+    def windows(text: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.length(text) - 2)
+        return F.when(
+            F.length(text) > 2, F.transform(starts, lambda i: text.substr(i, F.lit(3)))
+        ).otherwise(F.array().cast("array<string>"))
+
+    return _bind(padded, windows)
 
 
 def trigram_vector(name: Column, dimensions: int = DIMENSIONS) -> Column:
@@ -33,17 +41,18 @@ def trigram_vector(name: Column, dimensions: int = DIMENSIONS) -> Column:
         lambda t: F.conv(F.substring(F.md5(t.cast("binary")), 1, 6), 16, 10).cast("int") % dimensions,
     )
 
-    def counts(found: Column) -> Column:
-        return F.transform(
-            F.sequence(F.lit(0), F.lit(dimensions - 1)),
-            lambda d: F.size(F.filter(found, lambda s: s == d)).cast("float"),
+    def dense(found: Column) -> Column:
+        used = F.array_distinct(found)
+        counts = F.transform(used, lambda u: F.size(F.filter(found, lambda s: s == u)))
+        return _bind(
+            F.map_from_arrays(used, counts),
+            lambda by_slot: F.transform(
+                F.sequence(F.lit(0), F.lit(dimensions - 1)),
+                lambda d: F.coalesce(F.try_element_at(by_slot, d), F.lit(0)).cast("float"),
+            ),
         )
 
-    # The one-element array binds the slots, which are then hashed once per name
-    # and not once per dimension.
-    return F.when(
-        name.isNotNull(), F.get(F.transform(F.array(slots), counts), F.lit(0))
-    )
+    return F.when(name.isNotNull(), _bind(slots, dense))
 
 
 def cosine(a: Column, b: Column) -> Column:

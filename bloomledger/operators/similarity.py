@@ -21,23 +21,32 @@ from pyspark.sql import functions as F
 # 64 x 32768 doubles 16 MB.
 BLOCK_ROWS = 32768
 CHUNK_ROWS = 8192
-_SLICE_ROWS = 64
+SLICE_ROWS = 64
 
 # Scores are compared after rounding: equal vectors must tie, and the order of
 # additions inside the product would otherwise decide between them.
 SCORE_DIGITS = 9
 
 
-def _matrix(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
-    """Rows as a double matrix, and their lengths."""
-    array = column.combine_chunks()
-    rows = np.asarray(array.flatten().to_numpy(zero_copy_only=False), dtype=np.float64)
-    rows = rows.reshape(len(array), -1)
-    return rows, np.sqrt(np.einsum("ij,ij->i", rows, rows))
+def _best_of_block(k: int):
+    """Function of one grid cell: its queries' best `k` of its catalog block.
+
+    All of it is nested, so that Spark ships it to the executors by value and
+    they need no installed copy of this package.
+    """
 
+    def matrix(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows as a double matrix, and their lengths."""
+        array = column.combine_chunks()
+        rows = np.asarray(array.flatten().to_numpy(zero_copy_only=False), dtype=np.float64)
+        rows = rows.reshape(len(array), -1)
+        return rows, np.sqrt(np.einsum("ij,ij->i", rows, rows))
 
-def _best_of_block(k: int):
     def best(queries: pa.Table, catalog: pa.Table) -> pa.Table:
+        # Rows without a vector are dropped here: as a filter of the query, the
+        # test would have the vectors computed twice.
+        queries = queries.select(["query_id", "query_vector"]).drop_null()
+        catalog = catalog.select(["catalog_id", "catalog_vector"]).drop_null()
         out_schema = pa.schema(
             [
                 ("query_id", queries.schema.field("query_id").type),
@@ -49,12 +58,12 @@ def _best_of_block(k: int):
             return out_schema.empty_table()
         # Sorted by id, so that a stable sort by score breaks ties by id.
         catalog = catalog.sort_by("catalog_id")
-        c_rows, c_norm = _matrix(catalog["catalog_vector"])
-        q_rows, q_norm = _matrix(queries["query_vector"])
+        c_rows, c_norm = matrix(catalog["catalog_vector"])
+        q_rows, q_norm = matrix(queries["query_vector"])
         keep = min(k, len(c_rows))
         q_take, c_take, scores = [], [], []
-        for start in range(0, len(q_rows), _SLICE_ROWS):
-            part = slice(start, start + _SLICE_ROWS)
+        for start in range(0, len(q_rows), SLICE_ROWS):
+            part = slice(start, start + SLICE_ROWS)
             norms = q_norm[part, None] * c_norm[None, :]
             dots = q_rows[part] @ c_rows.T
             cosines = np.divide(dots, norms, out=np.zeros_like(dots), where=norms > 0)
@@ -99,8 +108,6 @@ def top_k(
     n_catalog = catalog.select("catalog_id").count()
     chunks = max(1, math.ceil(n_queries / chunk_rows), min(cores, n_queries // 256))
     blocks = max(1, math.ceil(n_catalog / block_rows))
-    queries = queries.filter(F.col("query_vector").isNotNull())
-    catalog = catalog.filter(F.col("catalog_vector").isNotNull())
 
     def grid(rows: DataFrame, own: str, parts: int, other: str, others: int, *columns: str):
         return rows.select(
@@ -119,19 +126,9 @@ def top_k(
             right.select("block", "chunk", "catalog_id", "catalog_vector").groupBy("block", "chunk")
         )
         .applyInArrow(
-            _drop_grid_columns(_best_of_block(k)),
+            _best_of_block(k),
             f"query_id {types['query_id']}, catalog_id {types['catalog_id']}, score double",
         )
     )
     by_score = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("catalog_id"))
     return best.withColumn("rank", F.row_number().over(by_score)).filter(F.col("rank") <= k)
-
-
-def _drop_grid_columns(function):
-    def run(queries: pa.Table, catalog: pa.Table) -> pa.Table:
-        return function(
-            queries.select(["query_id", "query_vector"]),
-            catalog.select(["catalog_id", "catalog_vector"]),
-        )
-
-    return run

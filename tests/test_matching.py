@@ -77,3 +77,21 @@ def test_match_products_keeps_every_row(spark):
     products = spark.createDataFrame([("1", "Rose Freedom Red"), ("2", "Rose Freedom Red"), ("2", "Rose Freedom Red"), ("3", "Red"), ("4", None)], "competitor_product_id string, product_name string")
     got = sorted((r["competitor_product_id"], r["matched_name"], r["variety_key"]) for r in mt.match_products(products, catalog, MatchRules()).collect())
     assert got == [("1", "Freedom Red Roses", "k2"), ("2", "Freedom Red Roses", "k2"), ("2", "Freedom Red Roses", "k2"), ("3", "Null", "Null"), ("4", "Null", "Null")]
+
+
+def test_grid_function_needs_no_package_on_the_executors(tmp_path):
+    import subprocess
+    import sys
+
+    from bloomledger.operators.similarity import _best_of_block
+    from pyspark import cloudpickle
+
+    (tmp_path / "f.pkl").write_bytes(cloudpickle.dumps(_best_of_block(3)))
+    code = (
+        "import pickle, pyarrow as pa; f = pickle.load(open('f.pkl', 'rb'));"
+        "t = pa.table({'query_id': [1], 'query_vector': [[1.0, 0.0]]});"
+        "c = pa.table({'catalog_id': [7, 8], 'catalog_vector': [[1.0, 1.0], [1.0, 0.0]]});"
+        "print(f(t, c)['catalog_id'].to_pylist())"
+    )
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=120)
+    assert out.stdout.strip().splitlines()[-1] == "[8, 7]", out.stderr
