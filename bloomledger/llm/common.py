@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 # A null doc_id takes part in joins and orders as the smallest id.
 NULL_ID = -(2**63)
 
+# Rows of a table that may be broadcast.
+SMALL_ROWS = 100_000
+
 # Text bytes that one step inside a task holds in work arrays.
 CHUNK_BYTES = 1 << 21
 
@@ -52,6 +55,16 @@ def settle(frame: DataFrame) -> DataFrame:
     return frame.checkpoint(eager=True)
 
 
+def with_small(big: DataFrame, small: DataFrame, on: Column, how: str = "inner") -> DataFrame:
+    """A join with a table that is expected to be small.
+
+    It is broadcast after its rows were counted; a larger one is joined by a shuffle, whose
+    hot keys adaptive execution splits.  `small` should be settled, as it is read twice.
+    """
+    few = small.count() <= SMALL_ROWS
+    return big.join(F.broadcast(small) if few else small, on, how)
+
+
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string column and the n + 1 offsets of its rows; null is empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bloomledger.llm import mixing, sharding, token_counts
+from bloomledger.llm import decontamination, language_id, mixing, near_dedup, sharding, token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pareto_mix": mixing.op2_pareto_mix,
     "op3_token_counts": token_counts.op3_token_counts,
     "op4_table_sharding": sharding.op4_table_sharding,
+    "op5_minhash_near_dedup": near_dedup.op5_minhash_near_dedup,
+    "op7_language_id": language_id.op7_language_id,
+    "op8_qgram_decontamination": decontamination.op8_qgram_decontamination,
 }
 
 ORACLE_SQL: dict[str, str] = {

@@ -9,12 +9,34 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bloomledger.llm import mixing, sharding
-from bloomledger.llm.common import key_of
+from bloomledger.llm import decontamination, language_id, mixing, near_dedup, sharding
+from bloomledger.llm.common import key_of, settle, table, with_small
 
 _KEY, _COPIES = "__key", "__copies"
 
 
+def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose text is in one of the learned languages."""
+    return language_id.accepted(docs, language_id.learn(docs))
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, the one with the smallest id."""
+    groups = near_dedup.near_groups(docs)
+    kept = groups.filter("k = component").select(F.col("k").alias(_KEY)).distinct()
+    found = docs.withColumn(_KEY, key_of("doc_id")).join(kept, _KEY)
+    # Rows with one id are one document.
+    return found.dropDuplicates([_KEY]).select(*docs.columns)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no passage of the benchmark occurs."""
+    leaks = decontamination.contamination(docs, table(spark, sf_dir, "benchmark"))
+    leaks = settle(leaks.select(key_of("doc_id").alias(_KEY)).distinct())
+    kept = with_small(docs, leaks, key_of(docs["doc_id"]) == leaks[_KEY], "left_anti")
+    return kept.select(*docs.columns)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them: none, once or repeated."""
     taken = (
