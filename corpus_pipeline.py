@@ -13,6 +13,9 @@ from bloomledger.llm import stages
 from bloomledger.llm.common import shared_folder
 
 STAGES = [
+    ("keep_languages", stages.keep_languages),
+    ("drop_near_copies", stages.drop_near_copies),
+    ("drop_leaks", stages.drop_leaks),
     ("mix_sources", stages.mix_sources),
     ("assign_shards", stages.assign_shards),
 ]
