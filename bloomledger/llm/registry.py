@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bloomledger.llm import decontamination, language_id, mixing, near_dedup, sharding, token_counts
+from bloomledger.llm import decontamination, language_id, mixing, near_dedup, sharding, token_counts, winnowing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_pareto_mix": mixing.op2_pareto_mix,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_minhash_near_dedup": near_dedup.op5_minhash_near_dedup,
     "op7_language_id": language_id.op7_language_id,
     "op8_qgram_decontamination": decontamination.op8_qgram_decontamination,
+    "op9_winnowing": winnowing.op9_winnowing,
 }
 
 ORACLE_SQL: dict[str, str] = {
