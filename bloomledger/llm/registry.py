@@ -6,13 +6,25 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bloomledger.llm import decontamination, language_id, mixing, near_dedup, sharding, token_counts, winnowing
+from bloomledger.llm import (
+    decontamination,
+    language_id,
+    mixing,
+    near_dedup,
+    pii,
+    repeats,
+    sharding,
+    token_counts,
+    winnowing,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_skip_chain_pii": pii.op1_skip_chain_pii,
     "op2_pareto_mix": mixing.op2_pareto_mix,
     "op3_token_counts": token_counts.op3_token_counts,
     "op4_table_sharding": sharding.op4_table_sharding,
     "op5_minhash_near_dedup": near_dedup.op5_minhash_near_dedup,
+    "op6_suffix_dedup": repeats.op6_suffix_dedup,
     "op7_language_id": language_id.op7_language_id,
     "op8_qgram_decontamination": decontamination.op8_qgram_decontamination,
     "op9_winnowing": winnowing.op9_winnowing,
