@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from bloomledger.llm import (
+    context_tree,
     decontamination,
     language_id,
     mixing,
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_language_id": language_id.op7_language_id,
     "op8_qgram_decontamination": decontamination.op8_qgram_decontamination,
     "op9_winnowing": winnowing.op9_winnowing,
+    "op10_context_tree_scores": context_tree.op10_context_tree_scores,
 }
 
 ORACLE_SQL: dict[str, str] = {
