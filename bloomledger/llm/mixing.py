@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from bloomledger.llm.common import settle, table
+from bloomledger.llm.common import settle, table, with_small
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (1, 2, 3)
@@ -106,7 +106,7 @@ def pareto_mix(
 
     chance = F.col("fraction") * (0.5 + 0.5 * (F.col("size") / (F.col("size") + F.col("mean_size"))))
     ranked = (
-        sized.join(targets, sized["source"].eqNullSafe(targets["source"]))
+        with_small(sized, targets, sized["source"].eqNullSafe(targets["source"]))
         .drop(targets["source"])
         .withColumn("u", uniform(F.col("doc_id"), seed))
         .withColumn("p", F.when((F.col("fraction") > 0) & (F.col("size") > 0), chance))
@@ -129,7 +129,7 @@ def pareto_mix(
         .withColumnRenamed("bucket", "cut_bucket")
     )
     slices = settle(slices)
-    ranked = ranked.join(slices, F.col("source").eqNullSafe(F.col("cut_source")), "left").drop("cut_source")
+    ranked = with_small(ranked, slices, F.col("source").eqNullSafe(F.col("cut_source")), "left").drop("cut_source")
 
     reached = Window.partitionBy("source").orderBy("q", "doc_id")
     at_cut = (
@@ -141,7 +141,7 @@ def pareto_mix(
         .select(F.col("source").alias("last_source"), "last", F.col("words").alias("words_at_cut"))
     )
     at_cut = settle(at_cut)
-    ranked = ranked.join(at_cut, F.col("source").eqNullSafe(F.col("last_source")), "left").drop("last_source")
+    ranked = with_small(ranked, at_cut, F.col("source").eqNullSafe(F.col("last_source")), "left").drop("last_source")
     drawn = (
         F.col("q").isNotNull()
         & (
@@ -167,7 +167,7 @@ def pareto_mix(
         .select(F.col("source").alias("best_source"), "best")
     )
     nearest = settle(nearest)
-    ranked = ranked.join(nearest, F.col("source").eqNullSafe(F.col("best_source")), "left")
+    ranked = with_small(ranked, nearest, F.col("source").eqNullSafe(F.col("best_source")), "left")
     added = F.coalesce(
         F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("q") == F.col("best.q")) & ~F.col("drawn"),
         F.lit(False),
