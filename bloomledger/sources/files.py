@@ -51,16 +51,3 @@ def read_landed(spark: SparkSession, path: str) -> DataFrame:
         F.col("_metadata.file_path").alias("path"), F.col("value").alias("payload")
     )
 
-
-def spread_small_scan(scan: DataFrame) -> DataFrame:
-    """Spread a scan over the cores when it has fewer partitions than there are.
-
-    One row group of a Parquet file is read by one task, and heavy text work
-    behind it would stay in that task.  A scan with enough partitions is returned
-    as it is, so a large table is never shuffled for this.  `scan` is a plain
-    read without joins or aggregates.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= cores:
-        return scan
-    return scan.repartition(cores)

@@ -21,7 +21,6 @@ from bloomledger.workloads.common import (
     PRICE_TEXT,
     Query,
     lines_with_parts,
-    spread_table,
     sql_aggressive_clean,
     sql_merged_or_range,
     sql_round_cents,
@@ -52,11 +51,11 @@ _INVENTORY_BODY = f"""named_struct('products', array(
   named_struct('product_id', l_partkey, 'name', {LISTING_NAME}, 'category_name', ' ' || p_type || ' ',
     'category_id', p_size % 5, 'unit_type', 'Bunch',
     'color_name', CASE WHEN l_linenumber = 1 THEN NULL ELSE ' Red ' END,
-    'grade_name', p_size || 'cm', 'unit_count', CASE WHEN l_linenumber % 2 = 0 THEN 0 ELSE CAST(l_quantity AS BIGINT) END,
-    'price_per_unit', l_extendedprice, 'price_per_stem', l_extendedprice / l_quantity,
-    'main_landed_cost', l_extendedprice * (1 - l_discount), 'freight', l_tax,
+    'grade_name', p_size || 'cm', 'unit_count', CASE WHEN l_linenumber % 2 = 0 THEN 0D ELSE l_quantity END,
+    'price_per_unit', CAST(l_extendedprice AS STRING), 'price_per_stem', l_extendedprice / l_quantity,
+    'main_landed_cost', l_extendedprice * (1 - l_discount), 'freight', CASE WHEN l_linenumber = 6 THEN 'n/a' ELSE CAST(l_tax AS STRING) END,
     'markup', CASE l_linenumber WHEN 3 THEN 0D WHEN 4 THEN NULL ELSE 1 + l_discount END,
-    'qty', CAST(l_quantity AS BIGINT), 'farm_name', p_brand, 'country_name', l_returnflag,
+    'qty', CAST(CAST(l_quantity AS BIGINT) AS STRING), 'farm_name', p_brand, 'country_name', l_returnflag,
     'seo_url', CASE WHEN l_linestatus = 'F' THEN '' ELSE 'p/' || l_partkey END, 'unknown', 1)))"""
 
 _INVENTORY_COLUMNS = [
@@ -87,14 +86,14 @@ SELECT '{fv.SOURCE_LABELS["mayesh"]}' AS competitor,
   COALESCE(NULLIF({sql_stem_length('raw_name')}, 0), CAST(p_size AS BIGINT)) AS stem_length,
   CASE WHEN l_linenumber % 2 = 0 THEN {sql_stems_per_unit('raw_name')} ELSE CAST(l_quantity AS BIGINT) END AS stems_per_unit,
   l_extendedprice AS unit_price, l_extendedprice / l_quantity AS stem_price,
-  l_extendedprice * (1 - l_discount) AS base_price, l_tax AS freight_price,
+  l_extendedprice * (1 - l_discount) AS base_price, CASE WHEN l_linenumber <> 6 THEN l_tax END AS freight_price,
   CASE WHEN l_linenumber NOT IN (3, 4) THEN (1e0 - 1e0 / (1 + l_discount)) * 1e2 END AS margin,
   CAST(l_quantity AS BIGINT) AS available_units, p_brand AS grower_name, l_returnflag AS grower_country,
   CAST(NULL AS VARCHAR) AS highlight_name,
   CASE WHEN l_linestatus <> 'F' THEN '{fv.INVENTORY_URL_PREFIX}p/' || l_partkey END AS product_url,
   CASE WHEN p_size % 5 <> 0 THEN CAST(p_size % 5 AS VARCHAR) END AS product_group_key,
   '{_DAY}' AS created_at, '{_ETA}' AS eta_date,
-  CASE WHEN l_partkey = 0 THEN 'missing competitor_product_id' END AS reject_reason
+  CASE WHEN l_partkey = 0 THEN 'missing competitor_product_id' WHEN l_linenumber = 6 THEN 'unreadable freight_price' END AS reject_reason
 FROM (SELECT *, {LISTING_NAME} AS raw_name {FROM_LINES_WITH_PARTS})"""
 
 # --- listing feed ----------------------------------------------------------------
@@ -186,24 +185,30 @@ _PART_NAME = """p_name || CASE p_partkey % 5
   WHEN 0 THEN ' CO ' || p_size || '/' || (p_size + 10) || 'cm' WHEN 1 THEN ' Wht EC' WHEN 2 THEN ' ' || (p_size + 20) || (p_size + 30)
   WHEN 3 THEN ' ' || p_size || '-' || (p_size + 5) || ' x10' ELSE '  Rd ' END"""
 _CELLS_REST = "<td></td><td>.</td><td>.</td><td><a>$3.00</a></td></tr>"
-_PART_PAGE = f"""'<html><body><div id="PageText"><form><table><tr><td>search</td></tr></table></form>
+_HIDDEN_ROW = f"<tr><td>9</td><td>hidden</td><td><a>hidden</a></td><td>Box</td><td>1 @ 0.01</td>{_CELLS_REST}"
+_PART_PAGE = f"""'<html><body><div data-id="PageText"><form></form><form><table>{_HIDDEN_ROW}</table></form></div>
+<div class="x" id="PageText"><div><p>Welcome</p></div><form><table><tr><td>search</td></tr></table></form>
 <form method=post><table width=9><tbody><tr><th>No</th></tr>
 <tr><td>.</td><td>Item ##</td><td>Name</td><td>Sold as</td><td>Offer</td><td>.</td><td>.</td><td>.</td><td>Price</td></tr>
 <TR class="a"><td>1<td> <b>' || p_partkey || '</b> </td><td><a href="/p"> ' || {_PART_NAME} || ' </a><br>Origin: ' || p_brand
 || ' </td><td>Box &amp;&nbsp;Bag&#39;s</td><td>' || p_size || ' @ $' || {_PART_PRICE} || ' <i>' || (p_size * 2) || '</i> @ ' || ({_PART_PRICE} * 2 - p_partkey % 2)
-|| '</td>{_CELLS_REST}<tr><td>short</td></tr><!-- <tr><td>no</td></tr> -->
+|| '</td>{_CELLS_REST}<tr><td>short</td></tr><!-- <tr><td>no</td></tr> {_HIDDEN_ROW} -->
 <tr><td>2</td><td>' || p_partkey || '</td><td><a>again</a></td><td>Box</td><td>1 @ 0.01</td>{_CELLS_REST}
 <tr><td>3</td><td>' || p_partkey || '-B</td><td>no link</td><td></td><td>call</td>{_CELLS_REST}
-</tbody></table></form></div></body></html>'"""
+</tbody><tbody>{_HIDDEN_ROW}</tbody></table><table>{_HIDDEN_ROW}</table></form></div>
+<form><table>{_HIDDEN_ROW}</table></form></body></html>'"""
+# Every tenth page landed twice.
+_LANDINGS = "CASE WHEN p_partkey % 10 = 0 THEN array(1, 2) ELSE array(1) END"
 
 
 def html_products(spark, sf_dir):
-    pages = spread_table(spark, sf_dir, "part").select(F.expr(_PAGE_URL).alias("url"), F.expr(_PART_PAGE).alias("html"))
+    pages = table(spark, sf_dir, "part").select(
+        F.expr(_PAGE_URL).alias("url"), F.expr(_PART_PAGE).alias("html"), F.explode(F.expr(_LANDINGS)).alias("landing")
+    )
     context = table(spark, sf_dir, "part").select(
         F.expr(_PAGE_URL).alias("url"), F.col("p_type").alias("product_group"), F.col("p_brand").alias("color")
     )
-    pages = hp.with_page_context(pages, context)
-    return cf.conform_html(hp.listing_table_items(pages, page=("url", "product_group", "color")))
+    return cf.conform_html(hp.with_page_context(hp.listing_table_items(pages), context))
 
 
 _HTML_COLUMNS = [
@@ -220,7 +225,8 @@ _SQL_CODES = r"regexp_replace(regexp_replace(trim(raw), '\s+[A-Z]{2}$', '', 'g')
 
 CONFORM_HTML_FEED = f"""
 WITH named AS (SELECT *, {_PART_NAME} AS raw, CAST({_PART_PRICE} AS DOUBLE) AS p1, CAST({_PART_PRICE} * 2 - p_partkey % 2 AS DOUBLE) AS p2 FROM part),
-coded AS (SELECT *, {_SQL_CODES} AS name, p1 / p_size <= p2 / (p_size * 2) AS first_wins FROM named)
+landed AS (SELECT * FROM named UNION ALL SELECT * FROM named WHERE p_partkey % 10 = 0),
+coded AS (SELECT *, {_SQL_CODES} AS name, p1 / p_size <= p2 / (p_size * 2) AS first_wins FROM landed)
 SELECT '{fv.SOURCE_LABELS["dvflora"]}' AS competitor, CAST(p_partkey AS VARCHAR) AS competitor_product_id,
   {sql_aggressive_clean('name')} AS competitor_product_name, p_type AS competitor_product_group_name,
   'Box &' || chr(160) || 'Bag''s' AS unit, p_brand AS color,
@@ -230,7 +236,7 @@ SELECT '{fv.SOURCE_LABELS["dvflora"]}' AS competitor, CAST(p_partkey AS VARCHAR)
   CAST(CASE WHEN first_wins THEN p_size ELSE p_size * 2 END AS BIGINT) AS available_units, p_brand AS grower_country,
   '{_DAY}' AS created_at, '{_ETA}' AS eta_date, CAST(NULL AS VARCHAR) AS reject_reason FROM coded
 UNION ALL
-SELECT '{fv.SOURCE_LABELS["dvflora"]}', p_partkey || '-B', NULL, p_type, '', p_brand, NULL, 1, NULL, NULL, NULL, '', '{_DAY}', '{_ETA}', NULL FROM part"""
+SELECT '{fv.SOURCE_LABELS["dvflora"]}', p_partkey || '-B', NULL, p_type, '', p_brand, NULL, 1, NULL, NULL, NULL, '', '{_DAY}', '{_ETA}', NULL FROM landed"""
 
 
 # --- all sources ---------------------------------------------------------------------------
@@ -289,7 +295,7 @@ def json_props(spark, sf_dir):
     events = table(spark, sf_dir, "events")
     wrapped = F.concat(
         F.lit('{"dates": [{"delivery_date": "'), F.date_format("ts", "yyyy-MM-dd"),
-        F.lit('", "program_id": '), F.regexp_extract("props", r"(\d+)", 1), F.lit("}]}"),
+        F.lit('", "program_id": '), F.get_json_object("props", "$.k"), F.lit("}]}"),
     )
     payload = F.when(F.col("event_id") % 10 == 0, F.lit('{"dates": [')).otherwise(wrapped)
     return jp.delivery_dates(events.select("event_id", payload.alias("payload")))
@@ -312,7 +318,7 @@ UNREADABLE_PAGES = "SELECT event_id FROM events WHERE event_type = 'error'"
 
 def listing_pages(spark, sf_dir):
     pages = _payload(lines_with_parts(spark, sf_dir), _KEY, _LISTING_BODY)
-    return jp.listing_rows(pages).select(*_KEY, "item.id", "item.unit", F.size("item.prices_data").alias("n_tiers"))
+    return jp.listing_rows(pages).select(*_KEY, F.col("item.id").cast("string").alias("id"), "item.unit", F.size("item.prices_data").alias("n_tiers"))
 
 
 LISTING_PAGES = f"""
@@ -324,7 +330,7 @@ UNION ALL SELECT l_orderkey, l_linenumber, '0', NULL, NULL {FROM_LINES_WITH_PART
 def variant_pages(spark, sf_dir):
     pages = _payload(lines_with_parts(spark, sf_dir), _KEY, _VARIANT_BODY)
     return jp.variant_rows(pages).select(
-        *_KEY, "item.id", "item.product_type", F.size("item.variants").alias("n_variants")
+        *_KEY, F.col("item.id").cast("string").alias("id"), "item.product_type", F.size("item.variants").alias("n_variants")
     )
 
 
@@ -390,7 +396,7 @@ FROM pages JOIN (SELECT DISTINCT url, {_PAGE_GROUP} AS product_group FROM pages)
 
 
 def html_rows(spark, sf_dir):
-    return hp.list_items(table(spark, sf_dir, "pages").select("page_id", "html"))
+    return hp.list_items(table(spark, sf_dir, "pages").select("page_id", "html")).drop("li")
 
 
 HTML_ROWS = r"""
@@ -412,12 +418,22 @@ SELECT page_id, CAST(generate_subscripts(l, 1) - 1 AS INTEGER) AS row_pos, unnes
 
 
 def page_first_dedup(spark, sf_dir):
-    """First link target of each text within a page; other pages are separate."""
-    rows = html_rows(spark, sf_dir)
-    return hp.first_in_page(rows, ["page_id"], "item_text")
+    """First list item of each text within a page, as it was written; other pages are separate."""
+    pages = table(spark, sf_dir, "pages")
+    # Items that differ in their markup only are repeats; every other one is set in bold.
+    marked = F.regexp_replace("html", r"(?is)<li>(.*?)</li>\s*<li>(.*?)</li>", "<li>$1</li><li><b>$2</b></li><li>$1</li>")
+    return hp.list_items(pages.select("page_id", marked.alias("html")), first_only=True)
 
 
-PAGE_FIRST_DEDUP = f"SELECT page_id, item_text, min(row_pos) AS row_pos FROM ({HTML_ROWS}) GROUP BY page_id, item_text"
+PAGE_FIRST_DEDUP = r"""
+WITH marked AS (
+  SELECT page_id, regexp_replace(html, '(?is)<li>(.*?)</li>\s*<li>(.*?)</li>', '<li>\1</li><li><b>\2</b></li><li>\1</li>', 'g') AS html FROM pages),
+items AS (
+  SELECT page_id, unnest(regexp_extract_all(html, '(?is)<li\b[^>]*>(.*?)</li\s*>', 1)) AS li,
+         generate_subscripts(regexp_extract_all(html, '(?is)<li\b[^>]*>(.*?)</li\s*>', 1), 1) - 1 AS pos FROM marked),
+texts AS (
+  SELECT *, trim(replace(replace(replace(regexp_replace(li, '(?s)\s*</?[a-zA-Z!][^>]*>\s*', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')) AS item_text FROM items)
+SELECT page_id, item_text, CAST(min(pos) AS INTEGER) AS row_pos, arg_min(li, pos) AS li FROM texts GROUP BY page_id, item_text"""
 
 
 def earliest_eligible(spark, sf_dir):
