@@ -1,52 +1,57 @@
 """Exact nearest names by cosine similarity, as a blocked matrix product.
 
 Every name must be compared with the whole catalog to find its true best
-candidates.  The comparison is cut into a grid: the catalog into blocks, the
-queries into chunks, both of bounded size, by a hash of their ids.  One task
+candidates.  The comparison is cut into a square grid: the catalog into blocks, the
+queries into chunks, both of a stated size, by a hash of their ids.  One task
 multiplies one chunk with one block and keeps the best k per query, so neither
 the full catalog nor any list of pairs exists anywhere, and both sides may grow
-without limit.  A window over the k rows per block then merges them.
+without limit.  Vectors travel as their non-zero slots, a name's vector having few,
+and a task fills in one small part of its cell at a time.  A window over the k rows per
+block then merges them.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Bounds of one grid cell: 32768 x 256 floats are 32 MB, one slice of scores
-# 64 x 32768 doubles 16 MB.
-BLOCK_ROWS = 32768
-CHUNK_ROWS = 8192
-SLICE_ROWS = 64
+# Rows of one side of a grid cell; with 20 non-zero slots each, 8 MB.
+CELL_ROWS = 65536
+# Rows that are filled in at a time: with 256 slots 8 MB for the catalog, 0.5 MB for queries.
+PART_ROWS = 4096
+SLICE_ROWS = 256
 
 # Scores are compared after rounding: equal vectors must tie, and the order of
 # additions inside the product would otherwise decide between them.
 SCORE_DIGITS = 9
 
 
-def _best_of_block(k: int):
+def _best_of_cell(k: int):
     """Function of one grid cell: its queries' best `k` of its catalog block.
 
     All of it is nested, so that Spark ships it to the executors by value and
     they need no installed copy of this package.
     """
 
-    def matrix(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
-        """Rows as a double matrix, and their lengths."""
-        array = column.combine_chunks()
-        rows = np.asarray(array.flatten().to_numpy(zero_copy_only=False), dtype=np.float64)
-        rows = rows.reshape(len(array), -1)
-        return rows, np.sqrt(np.einsum("ij,ij->i", rows, rows))
+    def parts(rows: pa.Table, size: int, length: int):
+        """Row ranges as dense matrices, with the lengths of their rows."""
+        slots, values = rows["slots"].combine_chunks(), rows["values"].combine_chunks()
+        ends = np.asarray(slots.offsets)
+        for start in range(0, len(rows), size):
+            end = min(start + size, len(rows))
+            dense = np.zeros((end - start, length))
+            line = np.repeat(np.arange(end - start), np.diff(ends[start : end + 1]))
+            inside = slice(ends[start], ends[end])
+            dense[line, slots.values.to_numpy()[inside]] = values.values.to_numpy()[inside]
+            yield start, dense, np.sqrt(np.einsum("ij,ij->i", dense, dense))
 
     def best(queries: pa.Table, catalog: pa.Table) -> pa.Table:
         # Rows without a vector are dropped here: as a filter of the query, the
         # test would have the vectors computed twice.
-        queries = queries.select(["query_id", "query_vector"]).drop_null()
-        catalog = catalog.select(["catalog_id", "catalog_vector"]).drop_null()
+        queries = queries.select(["query_id", "length", "slots", "values"]).drop_null()
+        catalog = catalog.select(["catalog_id", "length", "slots", "values"]).drop_null()
         out_schema = pa.schema(
             [
                 ("query_id", queries.schema.field("query_id").type),
@@ -56,25 +61,35 @@ def _best_of_block(k: int):
         )
         if queries.num_rows == 0 or catalog.num_rows == 0:
             return out_schema.empty_table()
-        # Sorted by id, so that a stable sort by score breaks ties by id.
-        catalog = catalog.sort_by("catalog_id")
-        c_rows, c_norm = matrix(catalog["catalog_vector"])
-        q_rows, q_norm = matrix(queries["query_vector"])
-        keep = min(k, len(c_rows))
+        lengths = {*queries["length"].unique().to_pylist(), *catalog["length"].unique().to_pylist()}
+        if len(lengths) > 1:
+            raise ValueError(f"vectors must have one length, but there are {sorted(lengths)}")
+        length = lengths.pop()
+        # Sorted by id, so that ties go to the smaller one.
+        catalog = catalog.sort_by("catalog_id").combine_chunks()
         q_take, c_take, scores = [], [], []
-        for start in range(0, len(q_rows), SLICE_ROWS):
-            part = slice(start, start + SLICE_ROWS)
-            norms = q_norm[part, None] * c_norm[None, :]
-            dots = q_rows[part] @ c_rows.T
-            cosines = np.divide(dots, norms, out=np.zeros_like(dots), where=norms > 0)
-            cosines = np.round(cosines, SCORE_DIGITS) + 0.0
-            limit = np.partition(cosines, -keep, axis=1)[:, -keep]
-            for i, row in enumerate(cosines):
-                near = np.flatnonzero(row >= limit[i])
-                near = near[np.argsort(-row[near], kind="stable")[:keep]]
-                q_take.append(np.full(len(near), start + i))
-                c_take.append(near)
-                scores.append(row[near])
+        for q_start, q_rows, q_norm in parts(queries.combine_chunks(), SLICE_ROWS, length):
+            found = np.zeros((len(q_rows), 0))
+            place = np.zeros((len(q_rows), 0), np.int64)
+            for c_start, c_rows, c_norm in parts(catalog, PART_ROWS, length):
+                norms = q_norm[:, None] * c_norm[None, :]
+                dots = q_rows @ c_rows.T
+                cosines = np.divide(dots, norms, out=np.zeros_like(dots), where=norms > 0)
+                cosines = np.round(cosines, SCORE_DIGITS) + 0.0
+                # Earlier parts come first, so a stable sort keeps ties in id order.
+                found = np.concatenate([found, cosines], axis=1)
+                place = np.concatenate(
+                    [place, np.broadcast_to(np.arange(c_start, c_start + len(c_rows)), cosines.shape)], axis=1
+                )
+                if found.shape[1] > k:
+                    limit = np.partition(found, -k, axis=1)[:, -k, None]
+                    better, equal = found > limit, found == limit
+                    room = k - better.sum(axis=1, keepdims=True)
+                    near = better | (equal & (np.cumsum(equal, axis=1) <= room))
+                    found, place = found[near].reshape(-1, k), place[near].reshape(-1, k)
+            q_take.append(np.repeat(np.arange(q_start, q_start + len(q_rows)), found.shape[1]))
+            c_take.append(place.ravel())
+            scores.append(found.ravel())
         return pa.table(
             [
                 queries["query_id"].take(pa.array(np.concatenate(q_take))),
@@ -87,46 +102,68 @@ def _best_of_block(k: int):
     return best
 
 
+def _non_zero(vector: str) -> list[Column]:
+    """Length of a vector, its non-zero slots and their values."""
+    used = F.filter(
+        F.transform(vector, lambda v, i: F.struct(i.alias("slot"), v.cast("double").alias("value"))),
+        lambda e: e["value"] != 0,
+    )
+    return [
+        F.size(vector).alias("length"),
+        F.when(F.col(vector).isNotNull(), used).alias("used"),
+    ]
+
+
+def _cells(n_rows: Column | int, cell_rows: int) -> Column:
+    """Number of grid lines for so many rows."""
+    n_rows = F.lit(n_rows) if isinstance(n_rows, int) else n_rows
+    return F.greatest(F.ceil(n_rows / F.lit(cell_rows)), F.lit(1)).cast("int")
+
+
 def top_k(
     queries: DataFrame,
     catalog: DataFrame,
     k: int = 10,
-    block_rows: int = BLOCK_ROWS,
-    chunk_rows: int = CHUNK_ROWS,
+    block_rows: int = CELL_ROWS,
+    chunk_rows: int = CELL_ROWS,
 ) -> DataFrame:
     """The `k` catalog rows most similar to each query row.
 
     queries: `query_id`, `query_vector`; catalog: `catalog_id`, `catalog_vector`;
-    ids are unique, vectors are arrays of equal length.  Returns `query_id`,
-    `catalog_id`, `score`, `rank` (1..k, ties by catalog id).
+    ids are unique, vectors are arrays of one length (other lengths fail).  Returns
+    `query_id`, `catalog_id`, `score`, `rank` (1..k, ties by catalog id).
 
-    Both inputs are counted to size the grid, so they are best stored tables
-    (`sinks.vector_store`), where a count reads file footers only.
+    The grid depends on the stated block sizes and the numbers of rows, which are counted
+    as part of the query; both inputs are best stored tables (`sinks.vector_store`), where
+    a count reads file footers only.
     """
-    cores = queries.sparkSession.sparkContext.defaultParallelism
-    n_queries = queries.select("query_id").count()
-    n_catalog = catalog.select("catalog_id").count()
-    chunks = max(1, math.ceil(n_queries / chunk_rows), min(cores, n_queries // 256))
-    blocks = max(1, math.ceil(n_catalog / block_rows))
-
-    def grid(rows: DataFrame, own: str, parts: int, other: str, others: int, *columns: str):
-        return rows.select(
-            F.pmod(F.xxhash64(columns[0]), F.lit(parts)).cast("int").alias(own),
-            F.explode(F.sequence(F.lit(0), F.lit(others - 1))).alias(other),
-            *columns,
+    chunks = _cells(queries.select(F.count("query_id")).scalar(), chunk_rows)
+    blocks = _cells(catalog.select(F.count("catalog_id")).scalar(), block_rows)
+
+    def grid(rows: DataFrame, own: str, parts: Column, other: str, others: Column, key: str, vector: str):
+        placed = rows.select(
+            F.pmod(F.xxhash64(key), parts).cast("int").alias(own), others.alias("others"), key, *_non_zero(vector)
+        )
+        return placed.select(
+            own,
+            F.explode(F.sequence(F.lit(0), F.col("others") - 1)).alias(other),
+            key,
+            "length",
+            F.col("used.slot").alias("slots"),
+            F.col("used.value").alias("values"),
         )
 
     left = grid(queries, "chunk", chunks, "block", blocks, "query_id", "query_vector")
     right = grid(catalog, "block", blocks, "chunk", chunks, "catalog_id", "catalog_vector")
     types = {**dict(queries.dtypes), **dict(catalog.dtypes)}
     best = (
-        left.select("block", "chunk", "query_id", "query_vector")
+        left.select("block", "chunk", "query_id", "length", "slots", "values")
         .groupBy("block", "chunk")
         .cogroup(
-            right.select("block", "chunk", "catalog_id", "catalog_vector").groupBy("block", "chunk")
+            right.select("block", "chunk", "catalog_id", "length", "slots", "values").groupBy("block", "chunk")
         )
         .applyInArrow(
-            _best_of_block(k),
+            _best_of_cell(k),
             f"query_id {types['query_id']}, catalog_id {types['catalog_id']}, score double",
         )
     )

@@ -65,7 +65,10 @@ def assemble(products: DataFrame, decisions: DataFrame, catalog: DataFrame) -> D
     Decisions are made once per distinct name and joined back by name.
     """
     decided = lookup_variety(decisions, catalog).withColumnRenamed("query_name", "product_name")
-    return products.join(decided, "product_name", "left").select(
+    # Products without a name have no decision; they would all meet in one partition.
+    named = products.filter(F.col("product_name").isNotNull()).join(decided, "product_name", "left")
+    unnamed = products.filter(F.col("product_name").isNull())
+    return named.unionByName(unnamed, allowMissingColumns=True).select(
         "competitor_product_id",
         F.col("product_name").alias("competitor"),
         F.coalesce("matched_name", F.lit(fv.NO_MATCH)).alias("matched_name"),

@@ -36,7 +36,8 @@ def name_vectors(
     stored = _stored(spark, path)
     wanted = names.select(F.col(name).alias("name")).filter(F.col("name").isNotNull()).distinct()
     missing = wanted if stored is None else wanted.join(stored.select("name"), "name", "left_anti")
-    vectorise(missing, "name", vectoriser).write.mode("append").parquet(path)
+    if stored is None or not missing.isEmpty():
+        vectorise(missing, "name", vectoriser).write.mode("append").parquet(path)
     return spark.read.parquet(path).join(wanted, "name", "left_semi")
 
 

@@ -54,6 +54,7 @@ def test_trigram_vector(apply):
 
 
 def test_name_words(apply):
+    assert apply(name_words, ["Telstar Irises Bushes boxes glasses branches crocuses"]) == [["telstar", "iris", "bush", "box", "glass", "branch", "crocus"]]
     assert apply(name_words, ["Garden ROSES, roses daisies iris glass", ""]) == [["garden", "rose", "daisy", "iris", "glass"], []]
 
 
@@ -64,6 +65,7 @@ def test_name_words(apply):
     ("Patience GARDEN Rose", ["Patience Garden Roses"], "Patience Garden Roses"),
     ("Red Rose", ["Red Roses", "Freedom Red Roses"], "Null"),
     ("Freedom Carnation", ["Freedom Red Roses"], "Null"),
+    ("Telstar Irises", ["Telstar Iris"], "Telstar Iris"),
     ("Freedom Sunrise Rose Super Extra", ["Freedom Roses"], "Null"),
 ])
 def test_adjudication_rules(spark, query, candidates, want):
@@ -83,15 +85,52 @@ def test_grid_function_needs_no_package_on_the_executors(tmp_path):
     import subprocess
     import sys
 
-    from bloomledger.operators.similarity import _best_of_block
+    from bloomledger.operators.similarity import _best_of_cell
     from pyspark import cloudpickle
 
-    (tmp_path / "f.pkl").write_bytes(cloudpickle.dumps(_best_of_block(3)))
+    (tmp_path / "f.pkl").write_bytes(cloudpickle.dumps(_best_of_cell(3)))
     code = (
         "import pickle, pyarrow as pa; f = pickle.load(open('f.pkl', 'rb'));"
-        "t = pa.table({'query_id': [1], 'query_vector': [[1.0, 0.0]]});"
-        "c = pa.table({'catalog_id': [7, 8], 'catalog_vector': [[1.0, 1.0], [1.0, 0.0]]});"
-        "print(f(t, c)['catalog_id'].to_pylist())"
+        "t = pa.table({'query_id': [1], 'length': [2], 'slots': [[0]], 'values': [[1.0]]});"
+        "c = pa.table({'catalog_id': [7, 8], 'length': [2, 2], 'slots': [[0, 1], [0]], 'values': [[1.0, 1.0], [1.0]]});"
+        "print(f(t, c).sort_by([('score', 'descending')])['catalog_id'].to_pylist())"
     )
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, timeout=120)
     assert out.stdout.strip().splitlines()[-1] == "[8, 7]", out.stderr
+
+
+def test_top_k_rejects_other_lengths(spark):
+    queries = spark.createDataFrame([(1, [1.0, 2.0]), (2, [1.0, 2.0, 3.0, 4.0])], "query_id bigint, query_vector array<float>")
+    catalog = spark.createDataFrame([(1, [1.0, 2.0, 3.0])], "catalog_id bigint, catalog_vector array<float>")
+    with pytest.raises(Exception, match="vectors must have one length"):
+        top_k(queries, catalog).collect()
+
+
+def test_top_k_runs_nothing_while_it_is_built(spark):
+    @F.udf("array<float>")
+    def fail(i):
+        raise RuntimeError("run too early")
+
+    rows = spark.range(3)
+    top_k(rows.select(F.col("id").alias("query_id"), fail("id").alias("query_vector")),
+          rows.select(F.col("id").alias("catalog_id"), fail("id").alias("catalog_vector")))
+
+
+def test_matching_run(spark, tmp_path):
+    from bloomledger.plans.matching_run import run_matching
+
+    (tmp_path / "shop.csv").write_text("product_name,competitor_product_id\nFreedom Red Roses,1\nUnknown Thing,2\nFreedom Red Roses,3\n,4\n")
+    mart = str(tmp_path / "mart")
+    spark.createDataFrame([("v1", "g1"), ("v2", "g1")], "variety string, product_group string").write.parquet(f"{mart}/cart_box_item")
+    spark.createDataFrame([("v1", "Freedom", "c1", "g1"), ("v2", "Mondial", None, "g1")], "_KEY string, variety_name string, color string, product_group string").write.parquet(f"{mart}/variety")
+    spark.createDataFrame([("g1", "Roses")], "_KEY string, common_name string").write.parquet(f"{mart}/product_group")
+    spark.createDataFrame([("c1", "Red")], "_KEY string, color_name string").write.parquet(f"{mart}/color")
+    root = str(tmp_path / "out")
+    for _ in range(2):  # a repeated run takes the stored vectors and gives the same
+        matches, found = run_matching(spark, str(tmp_path / "shop.csv"), mart, root, "2024-02-01")
+        got = sorted((r["competitor_product_id"], r["matched_name"], r["variety_key"]) for r in matches.collect())
+        assert got == [("1", "Red Freedom Roses", "v1"), ("2", "Null", "Null"), ("3", "Red Freedom Roses", "v1"), ("4", "Null", "Null")]
+        assert tuple(found.first()) == (4, 2)
+        assert spark.read.parquet(f"{root}/vectors/products").count() == 2
+    exported = spark.read.option("header", True).csv(f"{root}/matches.csv/as_of=2024-02-01")
+    assert exported.count() == 4
