@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,16 +12,28 @@ from bloomledger import fixed_values as fv
 # --- mapping -----------------------------------------------------------------
 
 
-def with_mapping(prices: DataFrame, mapping: DataFrame, key: str = "competitor_product_id") -> DataFrame:
+def with_mapping(
+    prices: DataFrame, mapping: DataFrame, key: str | list[str] = "competitor_product_id"
+) -> DataFrame:
     """Prices with their variety key; unmapped products keep a null key.
 
+    `key` may be several columns, such as the competitor and its product id.  Prices
+    without a key can have no mapping; they stay out of the join, where they would all
+    meet in one partition.
+
     No join hint: a mapping below the session's broadcast threshold is
     broadcast, a larger one is joined by shuffle, where adaptive execution
     splits the partition of a hot product.
     """
-    keys = mapping.select(key, F.col("variety_key").alias("mapped_key"))
+    on = [key] if isinstance(key, str) else list(key)
+    keys = mapping.select(*on, F.col("variety_key").alias("mapped_key"))
     others = [c for c in prices.columns if c != "variety_key"]
-    return prices.join(keys, key, "left").select(*others, F.col("mapped_key").alias("variety_key"))
+    has_key = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in on])
+    mapped = prices.filter(has_key).join(keys, on, "left")
+    unkeyed = prices.filter(~has_key).withColumn("mapped_key", F.lit(None).cast(keys.schema["mapped_key"].dataType))
+    return mapped.select(*others, "mapped_key").unionByName(unkeyed.select(*others, "mapped_key")).withColumnRenamed(
+        "mapped_key", "variety_key"
+    )
 
 
 def unmapped_products(prices: DataFrame, mapping: DataFrame, key: str = "competitor_product_id") -> DataFrame:
@@ -49,9 +63,12 @@ def compare_competitors(
 ) -> DataFrame:
     """Lowest price of each competitor side by side, and the spread between them.
 
-    Competitors are named by the caller, so the pivot needs no extra pass.
+    Competitors are named by the caller, so the pivot needs no extra pass.  `n_other`
+    counts the prices of sources that are not named, so that a new one is noticed.
     """
-    table = prices.groupBy(*by).pivot("competitor", competitors).agg(F.min(price))
+    lowest = [F.min(F.when(F.col("competitor") == c, F.col(price))).alias(c) for c in competitors]
+    unnamed = ~F.coalesce(F.col("competitor").isin(*competitors), F.lit(False))
+    table = prices.groupBy(*by).agg(*lowest, F.count_if(unnamed & F.col(price).isNotNull()).alias("n_other"))
     quoted = [F.col(f"`{c}`") for c in competitors]
     sellers = F.lit(0)
     for column in quoted:
@@ -123,9 +140,11 @@ def stock_alerts(
     has.
     """
     stock = products.groupBy(source, product, day).agg(F.sum(units).alias("units"))
+    # Days come from the grouped table, so products are read once.  The count keeps its
+    # columns the same on both paths; the plan then uses one shuffle for both.
+    days = stock.groupBy(source, day).agg(F.count("units").alias("n_counted")).filter("n_counted >= 0")
     calendar = (
-        products.select(source, day)
-        .distinct()
+        days.select(source, day)
         .withColumn("next_day", F.lead(day).over(Window.partitionBy(source).orderBy(day)))
     )
     timeline = Window.partitionBy(source, product).orderBy(day)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from bloomledger import fixed_values as fv
 from bloomledger.functions import text as tx
-from bloomledger.operators.filters import first_rows, has_no_keyword, not_in_keys
+from bloomledger.operators.filters import has_no_keyword, not_in_keys
 
 
 def build_catalog(
@@ -17,7 +17,6 @@ def build_catalog(
     color: DataFrame,
     excluded_varieties: list[str] | None = None,
     excluded_groups: list[str] | None = None,
-    max_items: int | None = None,
 ) -> DataFrame:
     """Distinct (`product_name`, `variety`) of the items sold.
 
@@ -28,14 +27,12 @@ def build_catalog(
     The item table is the only large input and only its (variety, group) pairs
     matter, so it is reduced to them first, by a partial aggregate in the scan
     stage; joins and text work then see one row per pair, however often a
-    variety is sold.  `max_items` takes the first items in key order.
+    variety is sold.
     """
-    v_ok = not_in_keys(F.col("variety"), excluded_varieties or fv.EXCLUDED_VARIETIES)
-    g_ok = not_in_keys(F.col("product_group"), excluded_groups or fv.EXCLUDED_PRODUCT_GROUPS)
-    sold = items.select("variety", "product_group").filter(v_ok & g_ok)
-    if max_items is not None:
-        sold = first_rows(sold, max_items, "variety", "product_group")
-    pairs = sold.distinct()
+    varieties = fv.EXCLUDED_VARIETIES if excluded_varieties is None else excluded_varieties
+    groups_out = fv.EXCLUDED_PRODUCT_GROUPS if excluded_groups is None else excluded_groups
+    wanted = not_in_keys(F.col("variety"), varieties) & not_in_keys(F.col("product_group"), groups_out)
+    pairs = items.select("variety", "product_group").filter(wanted).distinct()
 
     # A variety counts only with an existing group of its own; the name shown
     # comes from the group of the item.

@@ -1,3 +1,4 @@
+from bloomledger import fixed_values as fv
 from bloomledger.operators import analytics as an
 from bloomledger.operators import filters as fl
 from bloomledger.plans.catalog import build_catalog
@@ -16,8 +17,8 @@ def test_stock_alerts_tell_zero_from_missing(spark):
 def test_compare_competitors(spark):
     rows = [("v", "d", "A", 1.0), ("v", "d", "A", 0.5), ("v", "d", "B", 2.0), ("w", "d", "B", 3.0), ("w", "d", "C", 3.0)]
     frame = spark.createDataFrame(rows, "variety_key string, eta_date string, competitor string, stem_price double")
-    got = sorted((r["variety_key"], r["A"], r["B"], r["n_competitors"], r["spread"]) for r in an.compare_competitors(frame, ["A", "B"]).collect())
-    assert got == [("v", 0.5, 2.0, 2, 1.5), ("w", None, 3.0, 1, 0.0)]
+    got = sorted((r["variety_key"], r["A"], r["B"], r["n_competitors"], r["spread"], r["n_other"]) for r in an.compare_competitors(frame, ["A", "B"]).collect())
+    assert got == [("v", 0.5, 2.0, 2, 1.5, 0), ("w", None, 3.0, 1, 0.0, 1)]
 
 
 def test_mapping_fan_out_is_kept(spark):
@@ -28,6 +29,22 @@ def test_mapping_fan_out_is_kept(spark):
     assert [r[0] for r in an.unmapped_products(prices, mapping).collect()] == ["2"]
 
 
+def test_mapping_by_source_and_product(spark):
+    prices = spark.createDataFrame([("A", "1"), ("B", "1"), ("A", None)], "competitor string, competitor_product_id string")
+    mapping = spark.createDataFrame([("A", "1", "k1"), (None, None, "k2")], "competitor string, competitor_product_id string, variety_key string")
+    got = an.with_mapping(prices, mapping, ["competitor", "competitor_product_id"])
+    assert sorted((r["competitor"], r["competitor_product_id"] or "", r["variety_key"] or "") for r in got.collect()) == [("A", "", ""), ("A", "1", "k1"), ("B", "1", "")]
+
+
+def test_stock_alerts_read_products_once(spark, sf_dir):
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").selectExpr(
+        "l_returnflag as competitor", "l_partkey as competitor_product_id", "cast(l_shipdate as string) as eta_date", "l_quantity as available_units")
+    frame = an.stock_alerts(lines)
+    frame.collect()
+    final = frame._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("FileScan") == 1 and "ReusedExchange" in final
+
+
 def test_volume_drop_and_cap(spark):
     rows = [("A", "d1")] * 10 + [("A", "d2")] * 4 + [("A", "d3")] * 4
     frame = spark.createDataFrame(rows, "competitor string, eta_date string")
@@ -50,5 +67,10 @@ def test_catalog_rules(spark):
     color = spark.createDataFrame([("c1", "Dark Red")], "_KEY string, color_name string")
     got = sorted(tuple(r) for r in build_catalog(items, variety, group, color, excluded_varieties=["x"]).collect())
     assert got == [("Dark Red Freedom Jumbo Roses", "v1"), ("Mondial", "v2")]
-    limited = build_catalog(items, variety, group, color, excluded_varieties=["x"], max_items=2)
-    assert sorted(tuple(r) for r in limited.collect()) == [("Dark Red Freedom Jumbo Roses", "v1")]
+    # An empty list excludes nothing; it does not bring the built-in keys back.
+    builtin = fv.EXCLUDED_VARIETIES[0]
+    kept = build_catalog(
+        items.unionByName(spark.createDataFrame([(builtin, "g1")], items.schema)),
+        variety.unionByName(spark.createDataFrame([(builtin, "Built In", "c1", "g1")], variety.schema)),
+        group, color, excluded_varieties=[], excluded_groups=[])
+    assert {builtin, "x"} <= {r["variety"] for r in kept.collect()}
