@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bloomledger import fixed_values as fv
 from bloomledger import schema as sc
 from bloomledger.operators import conformers as cf
 from bloomledger.operators.dates import earliest_delivery_date, stamp_eta
 from bloomledger.operators.filters import union_sources, valid_item
-from bloomledger.sinks.tables import append_prices, save_snapshot, snapshot_path
+from bloomledger.sinks.tables import append_prices, replace_partitions, save_snapshot, snapshot_path
 from bloomledger.sources import html_pages as hp
 from bloomledger.sources import json_pages as jp
 
@@ -30,10 +31,8 @@ def raw_products(source: str, landed: DataFrame, context: DataFrame | None = Non
         if context is None:
             raise ValueError("the HTML source needs its URL list")
         pages = landed.withColumnRenamed("payload", "html").select("url", "html")
-        pages = hp.with_page_context(pages, context.select("url", "product_group", "color"))
-        items = cf.conform_html(
-            hp.listing_table_items(pages, page=("url", "product_group", "color"))
-        )
+        rows = hp.with_page_context(hp.listing_table_items(pages), context.select("url", "product_group", "color"))
+        items = cf.conform_html(rows)
         return items.filter(valid_item(F.col("competitor_product_id")))
     raise ValueError(f"unknown source: {source!r}")
 
@@ -49,6 +48,19 @@ def conformed_products(
     return sc.conform(stamp_eta(raw_products(source, landed, context), eta), created_at)
 
 
+def check_inputs(landed: dict[str, DataFrame], context: DataFrame | None) -> None:
+    """Fail before anything is written if a source is unknown or lacks its URL list."""
+    for source in landed:
+        if source not in fv.SOURCE_LABELS:
+            raise ValueError(f"unknown source: {source!r}")
+        if source not in fv.EXPORT_COLUMNS:
+            raise ValueError(f"no export columns are defined for table {source!r}")
+    if "dvflora" in landed and context is None:
+        raise ValueError("the HTML source needs its URL list")
+    if not landed:
+        raise ValueError("no source has landed")
+
+
 def run_day(
     landed: dict[str, DataFrame],
     dates: DataFrame,
@@ -58,21 +70,30 @@ def run_day(
 ) -> DataFrame:
     """Conform, store, snapshot and export every source; returns the day's prices.
 
-    Each source's conformed rows are written once under `root/conformed` and all
-    further steps read that table, so raw payloads are parsed a single time and
-    a lost executor costs no more than its own tasks.
+    All sources are conformed in one job and written once under `root/conformed`, by
+    source and day.  Later steps read that table, so raw payloads are parsed a single
+    time and a lost executor costs no more than its own tasks.  Running a day again
+    replaces what it wrote, here and in the price tables.
     """
+    check_inputs(landed, context)
     spark = dates.sparkSession
     root = root.rstrip("/")
     eta = earliest_delivery_date(dates).first()["eta_date"]
+    if created_at is None:  # one day for all sources, also when the run crosses midnight
+        created_at = F.lit(spark.range(1).select(sc.run_date().alias("day")).first()["day"])
+    conformed = union_sources(
+        *[
+            conformed_products(source, pages, eta, context, created_at).withColumn("source", F.lit(source))
+            for source, pages in landed.items()
+        ]
+    )
+    path = f"{root}/conformed"
+    replace_partitions(conformed, path, ["source", "eta_date"])
+    stored = spark.read.parquet(path).filter(F.col("eta_date") == eta)
+    stored = stored.withColumn("eta_date", F.col("eta_date").cast("string"))
     days = []
-    for source, pages in landed.items():
-        path = f"{root}/conformed/{source}/eta_date={eta}"
-        conformed_products(source, pages, eta, context, created_at).drop("eta_date").write.mode(
-            "overwrite"
-        ).parquet(path)
-        stored = spark.read.parquet(path).withColumn("eta_date", F.lit(eta))
-        prices = sc.valid_products(stored).select(*sc.PRODUCT_SCHEMA.names)
+    for source in landed:
+        prices = sc.valid_products(stored.filter(F.col("source") == source)).select(*sc.PRODUCT_SCHEMA.names)
         save_snapshot(prices, snapshot_path(f"{root}/output", source, eta))
         append_prices(prices, source, f"{root}/prices")
         days.append(prices)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bloomledger import fixed_values as fv
@@ -24,18 +26,41 @@ def export_columns(products: DataFrame, table: str) -> DataFrame:
     )
 
 
+def replace_partitions(rows: DataFrame, path: str, by: list[str]) -> None:
+    """Write rows by partition; partitions that they name are replaced, others stay."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+
+
 def append_prices(products: DataFrame, table: str, root: str) -> bool:
-    """Append to `root/<table>` (Parquet by `created_at`); False if there is no row."""
+    """Add a day to `root/<table>` (Parquet by `created_at`); False if there is no row.
+
+    A day that the table already has is replaced, so a run can be repeated.
+    """
     chosen = export_columns(products, table)
     if chosen.isEmpty():
         return False
-    chosen.write.mode("append").partitionBy("created_at").parquet(f"{root.rstrip('/')}/{table.lower()}")
+    replace_partitions(chosen, f"{root.rstrip('/')}/{table.lower()}", ["created_at"])
     return True
 
 
 def replace_mapping(mapping: DataFrame, path: str) -> None:
-    """Replace the mapping table.  `mapping` must not read from `path` itself."""
-    mapping.select("competitor_product_id", "variety_key").write.mode("overwrite").parquet(path)
+    """Make this the mapping table.
+
+    The rows go into a version folder of their own, and a one-row pointer table names it
+    afterwards: a job that fails leaves the old mapping in place.  `read_mapping` follows
+    the pointer, so `mapping` may be derived from the table it replaces.
+    """
+    version = f"{path.rstrip('/')}/version={uuid.uuid4().hex}"
+    mapping.select("competitor_product_id", "variety_key").write.parquet(version)
+    spark = mapping.sparkSession
+    named = spark.range(1).select(F.current_timestamp().alias("since"), F.lit(version).alias("version"))
+    named.coalesce(1).write.mode("append").parquet(f"{path.rstrip('/')}/current")
+
+
+def read_mapping(spark: SparkSession, path: str) -> DataFrame:
+    """The mapping that was put in place last."""
+    named = spark.read.parquet(f"{path.rstrip('/')}/current")
+    return spark.read.parquet(named.orderBy(F.desc("since")).first()["version"])
 
 
 def write_csv(rows: DataFrame, path: str) -> None:

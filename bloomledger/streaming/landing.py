@@ -33,13 +33,23 @@ def stream_products(spark: SparkSession, source: str, path: str, eta_date: str)
 def append_stream(products: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append what has landed since the last run and stop.
 
-    The file sink commits each batch once, so a restarted run writes no row
-    twice; `checkpoint` lies in shared storage next to the table.
+    Valid rows go to `path/prices`, rejected ones with their reason to
+    `path/rejected`.  Each batch has a folder of its own, which a restarted run
+    writes again, so no row is there twice; `checkpoint` lies in shared storage.
     """
+
+    def write(batch: DataFrame, number: int) -> None:
+        # Conformed once, for both tables.
+        batch.withColumn("is_valid", F.col(sc.REJECT_REASON).isNull()).write.mode("overwrite").partitionBy(
+            "is_valid"
+        ).parquet(f"{path}/conformed/batch={number}")
+        stored = batch.sparkSession.read.schema(batch.schema).parquet(f"{path}/conformed/batch={number}")
+        for name, rows in (("prices", sc.valid_products(stored)), ("rejected", sc.rejected_products(stored))):
+            rows.write.mode("overwrite").partitionBy("created_at").parquet(f"{path}/{name}/batch={number}")
+
     return (
-        products.writeStream.format("parquet")
+        products.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
-        .partitionBy("created_at")
         .trigger(availableNow=True)
-        .start(path)
+        .start()
     )

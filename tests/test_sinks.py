@@ -23,7 +23,7 @@ def test_append_prices(spark, tmp_path):
     assert tb.append_prices(products, "FlowerMarketplace", root)
     assert tb.append_prices(products, "flowermarketplace", root)
     stored = spark.read.parquet(f"{root}/flowermarketplace")
-    assert stored.count() == 6 and "color" not in stored.columns and "unit_price" not in stored.columns
+    assert stored.count() == 3 and "color" not in stored.columns and "unit_price" not in stored.columns
     assert not tb.append_prices(products.limit(0), "mayesh", root)
     assert not (tmp_path / "mayesh").exists()
     with pytest.raises(ValueError):
@@ -50,7 +50,13 @@ def test_mapping_round_trip(spark, tmp_path):
     first = spark.createDataFrame([("8152609227061", "k1"), ("007", "k2")], "competitor_product_id string, variety_key string")
     tb.replace_mapping(first, path)
     tb.replace_mapping(first.limit(1), path)
-    assert spark.read.parquet(path).count() == 1
+    assert tb.read_mapping(spark, path).count() == 1
+    tb.replace_mapping(tb.read_mapping(spark, path).unionByName(first), path)  # derived from itself
+    assert tb.read_mapping(spark, path).count() == 3
+    broken = first.select(F.raise_error(F.lit("lost")).cast("string").alias("competitor_product_id"), "variety_key")
+    with pytest.raises(Exception, match="lost"):
+        tb.replace_mapping(broken, path)
+    assert tb.read_mapping(spark, path).count() == 3
     tb.write_csv(first, str(tmp_path / "out"))
     assert sorted(tuple(r) for r in read_mapping_csv(spark, str(tmp_path / "out")).collect()) == [("007", "k2"), ("8152609227061", "k1")]
     assert store_matches(first, str(tmp_path / "matches")).count() == 2
@@ -81,7 +87,13 @@ def test_daily_run(spark, tmp_path):
     assert spark.read.parquet(f"{root}/prices/mayesh").first()["eta_date"] == "2024-02-14"
     assert not (tmp_path / "prices" / "flowermarketplace").exists()
     run_day(landed, dates, root, created_at=F.lit("2024-02-01"))
-    assert spark.read.parquet(f"{root}/prices/petaljet").count() == 2  # appended per run
+    assert spark.read.parquet(f"{root}/prices/petaljet").count() == 1  # a day run again replaces itself
+    run_day(landed, dates, root, created_at=F.lit("2024-02-02"))
+    assert spark.read.parquet(f"{root}/prices/petaljet").count() == 2
+    for bad in ({**landed, "other": landed["mayesh"]}, {**landed, "dvflora": landed["mayesh"]}, {}):
+        with pytest.raises(ValueError):
+            run_day(bad, dates, str(tmp_path / "none"))
+    assert not (tmp_path / "none").exists()
 
 
 def test_landing_stream_equals_batch(spark, tmp_path):
@@ -95,11 +107,12 @@ def test_landing_stream_equals_batch(spark, tmp_path):
     def run():
         stream = landing.stream_products(spark, "mayesh", str(inbox), "2024-02-14")
         landing.append_stream(stream, str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination()
-        return spark.read.parquet(str(tmp_path / "out"))
+        return spark.read.parquet(str(tmp_path / "out" / "prices")), spark.read.parquet(str(tmp_path / "out" / "rejected"))
 
     land(1), land(2)
-    assert run().count() == 4
+    assert [t.count() for t in run()] == [2, 2]
     land(3)
-    rows = run().filter("reject_reason is null")
+    rows, rejected = run()
+    assert rejected.count() == 3 and {r["reject_reason"] for r in rejected.collect()} == {"missing competitor_product_id"}
     assert sorted((r["competitor_product_id"], r["competitor_product_name"], r["stem_length"]) for r in rows.collect()) == [
         ("1", "Rose Red", 10), ("2", "Rose Red", 20), ("3", "Rose Red", 30)]
