@@ -56,11 +56,37 @@ NAME_LENGTH_UNITS = ["mm", "cm", "in", "inch", "inches", "c"]
 STEM_LENGTH_UNITS = ["cm", "mm", "m", "in", "inch", "inches", "c"]
 
 # Units of a pack count that is removed from a name.
-PACK_UNITS = ["pk", "p", "cs", "ct", "ea", "bx", "bunch", "bunches", "stems?", "st"]
+PACK_UNITS = ["pk", "p", "cs", "ct", "ea", "bx", "bunch", "bunches", "stem", "stems", "st"]
 
 # Origin codes that are removed from a name as whole words, any case.
 ORIGIN_CODES = ["EC", "CR", "CL", "VA", "Mex"]
 
+# Patterns of sizes and packs that are removed from a name, any case; {units} and
+# {packs} stand for the lists above.
+LENGTH_IN_NAME = r"\s+\d+[\s/\-]*\d*\s*(?:{units})\b"
+COUNT_THEN_PACK = r"\s+\d+\s*(?:{packs})\b"
+PACK_THEN_COUNT = r"\s+(?:{packs})\d+\b|\b\d+x\b|\+\d+\b|\bx\d+\b"
+TRAILING_NUMBER = r"\s+\d+\s*$"
+
+# Patterns of lengths, counts and prices that are read from a text; {units} stands
+# for the stem length units.
+LENGTH_WITH_UNIT = r"(\d+)(?:[\s/\-]\d+)?\s*(?:{units})\b"
+BARE_NUMBER = r"(\d+)(?:[\s/\-]\d+)?(?!\w)"
+MERGED_PAIR = r"\b(\d{2})(\d{2})\b"
+NUMBER_RANGE = r"\b(\d+)[-/](\d+)\b"
+STEM_COUNT = r"(\d+)\s*(?:st|stem|stems)"
+TIMES_COUNT = r"x(\d+)"
+SPLIT_COUNT = r"(\d+)/(\d+)"
+EACH_PRICE = r"\(\s*\$(\d+\.\d{2})\s*Each\s*\)"
+EACH_PRICE_TAG = r"\(\$\d+\.\d{2}\s*Each\)"
+FIRST_PRICE = r"\$?(\d+(?:\.\d+)?)"
+QTY_AT_PRICE = r"(\d+)\s*@\s*\$?(\d+\.\d+)"
+
+# Patterns of two-letter codes that are removed from a name: at its end, then
+# between words.
+CODE_AT_END = r"\s+[A-Z]{2}$"
+CODE_BETWEEN = r"\s+[A-Z]{2}\s+"
+
 # A bare number counts as a stem length inside this closed range (cm).
 STEM_LENGTH_RANGE = (20, 120)
 

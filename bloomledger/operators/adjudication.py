@@ -29,7 +29,7 @@ class MatchRules:
     type_words: tuple[str, ...] = (
         "rose", "carnation", "chrysanthemum", "mum", "disbud", "lily", "tulip", "orchid",
         "hydrangea", "ranunculus", "gerbera", "daisy", "alstroemeria", "anemone", "aster",
-        "foliage", "green", "flower",
+        "foliage", "flower",
     )
     subtype_words: tuple[str, ...] = field(default=tuple(fv.SUBTYPE_WORDS))
     min_overlap: float = 0.5
@@ -41,13 +41,18 @@ def name_words(name: Column) -> Column:
     return F.array_distinct(
         F.transform(
             F.filter(words, lambda w: w != ""),
-            lambda w: F.regexp_replace(
-                F.regexp_replace(w, r"(..)ies$", "$1y"), r"(..[^siu])s$", "$1"
-            ),
+            _singular,
         )
     )
 
 
+def _singular(word: Column) -> Column:
+    """`daisies`, `bushes`, `irises`, `roses` as `daisy`, `bush`, `iris`, `rose`."""
+    word = F.regexp_replace(word, r"(..)ies$", "$1y")
+    word = F.regexp_replace(word, r"(.(?:sh|ch|x|ss|is|us))es$", "$1")
+    return F.regexp_replace(word, r"(..[^siu])s$", "$1")
+
+
 def _constant(words: tuple[str, ...]) -> Column:
     """Array of the words; a constant that the optimizer splits once."""
     return F.split(F.lit(" ".join(words)), " ")

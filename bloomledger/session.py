@@ -7,7 +7,6 @@ best with the settings below that are not about local mode.
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -28,8 +27,5 @@ def local_session(cores: int | str = 8, app: str = "bloomledger") -> SparkSessio
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config(
-            "spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="bloomledger-warehouse-")
-        )
         .getOrCreate()
     )

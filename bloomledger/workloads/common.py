@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bloomledger import fixed_values as fv
-from bloomledger.sources.files import spread_small_scan
 
 
 @dataclass(frozen=True)
@@ -31,13 +30,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table that heavy work per row follows."""
-    return spread_small_scan(table(spark, sf_dir, name))
-
-
 def lines_with_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = spread_table(spark, sf_dir, "lineitem")
+    lines = table(spark, sf_dir, "lineitem")
     parts = table(spark, sf_dir, "part")
     return lines.join(parts, lines["l_partkey"] == parts["p_partkey"])
 
@@ -108,15 +102,17 @@ def sql_safe_clean(text: str) -> str:
 
 def sql_aggressive_clean(text: str) -> str:
     units, packs = "|".join(fv.NAME_LENGTH_UNITS), "|".join(fv.PACK_UNITS)
+    sizes = [
+        p.replace("{units}", units).replace("{packs}", packs)
+        for p in (fv.LENGTH_IN_NAME, fv.COUNT_THEN_PACK, fv.PACK_THEN_COUNT)
+    ]
     out = sql_replace(sql_collapse(text), rf"{fv.NAME_PREFIX}\s*", "", "gi")
     for short, full in fv.ABBREVIATIONS:
         out = sql_replace(out, rf"\b{re.escape(short)}\b", full, "gi")
     for pattern in (
-        rf"\s+\d+[\s/\-]*\d*\s*(?:{units})\b",
-        rf"\s+\d+\s*(?:{packs})\b",
-        rf"\s+(?:{packs})\d+\b|\b\d+x\b|\+\d+\b|\bx\d+\b",
+        *sizes,
         rf"\b(?:{'|'.join(fv.ORIGIN_CODES)})\b",
-        r"\s+\d+\s*$",
+        fv.TRAILING_NUMBER,
     ):
         out = sql_replace(out, pattern, "", "gi")
     return f"CASE WHEN {text} <> '' THEN {sql_collapse(out)} END"
@@ -130,8 +126,8 @@ def sql_stem_length(text: str) -> str:
     low, high = fv.STEM_LENGTH_RANGE
     units = "|".join(fv.STEM_LENGTH_UNITS)
     bare = _sql_int(text, r"(\d+)(?:\W|$)")
-    merged = _sql_int(text, r"\b(\d{2})(\d{2})\b")
-    with_unit = _sql_int(text, rf"(\d+)(?:[\s/\-]\d+)?\s*(?:{units})\b")
+    merged = _sql_int(text, fv.MERGED_PAIR)
+    with_unit = _sql_int(text, fv.LENGTH_WITH_UNIT.replace("{units}", units))
     return (
         f"COALESCE({with_unit}, CASE WHEN {bare} BETWEEN {low} AND {high} THEN {bare} END, "
         f"CASE WHEN {merged} BETWEEN {low} AND {high} THEN {merged} END)"
@@ -140,27 +136,27 @@ def sql_stem_length(text: str) -> str:
 
 def sql_stems_per_unit(text: str) -> str:
     return (
-        f"COALESCE({_sql_int(text, r'(\d+)\s*(?:st|stem|stems)')}, {_sql_int(text, r'x(\d+)')}, "
-        f"{_sql_int(text, r'(\d+)/(\d+)')}, CAST(1 AS BIGINT))"
+        f"COALESCE({_sql_int(text, fv.STEM_COUNT)}, {_sql_int(text, fv.TIMES_COUNT)}, "
+        f"{_sql_int(text, fv.SPLIT_COUNT)}, CAST(1 AS BIGINT))"
     )
 
 
 def sql_merged_or_range(text: str) -> str:
-    merged = _sql_int(text, r"\b(\d{2})(\d{2})\b")
-    return f"COALESCE({merged}, {_sql_int(text, r'\b(\d+)[-/](\d+)\b')})"
+    return f"COALESCE({_sql_int(text, fv.MERGED_PAIR)}, {_sql_int(text, fv.NUMBER_RANGE)})"
 
 
 def sql_round_cents(value: str) -> str:
-    """Two places by the exact binary value, ties to even (see `round_cents`)."""
-    x = f"({value})"
-    high = f"({x} * 134217729e0 - ({x} * 134217729e0 - {x}))"
-    error = f"(({high} * 1e2 - {x} * 1e2) + ({x} - {high}) * 1e2)"
-    beyond = f"((({x} * 1e2 - floor({x} * 1e2)) - 5e-1) + {error})"
-    step = (
-        f"CASE WHEN {beyond} > 0 THEN 1e0 WHEN {beyond} < 0 THEN 0e0 "
-        f"ELSE abs(floor({x} * 1e2) % 2e0) END"
-    )
-    return f"((floor({x} * 1e2) + {step}) / 1e2)"
+    """Two places by the exact binary value, ties to even, in whole numbers.
+
+    A double from 2^-8 up is a whole number of 2^-60ths; a hundred times it, divided
+    with remainder, is rounded exactly.
+    """
+    sixtieths = f"(100 * CAST(({value}) * 1152921504606846976e0 AS HUGEINT))"
+    one = "CAST(1152921504606846976 AS HUGEINT)"
+    half = "CAST(576460752303423488 AS HUGEINT)"
+    whole, rest = f"({sixtieths} // {one})", f"({sixtieths} % {one})"
+    up = f"CASE WHEN {rest} > {half} THEN 1 WHEN {rest} = {half} THEN {whole} % 2 ELSE 0 END"
+    return f"(CAST({whole} + {up} AS DOUBLE) / 1e2)"
 
 
 def sql_title_case(text: str) -> str:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from bloomledger import fixed_values as fv
 from bloomledger.functions.vectors import DIMENSIONS, cosine
 from bloomledger.operators.adjudication import MatchRules, adjudicate, judge
 from bloomledger.operators.similarity import top_k
@@ -57,27 +58,37 @@ def _listed(keys):
     return ", ".join(f"'{k}'" for k in keys)
 
 
+def _free_of(column):
+    """No excluded keyword, as a condition; unknown for a null text."""
+    return " AND ".join(f"position('{word}' IN {column}) = 0" for word in fv.EXCLUDED_KEYWORDS)
+
+
+_COLOR_WORDS = "string_split(lower(color_name), ' ')"
+_TWO_WORD_COLOR = " OR ".join(f"starts_with(lower(color_name), '{m} ')" for m in fv.COLOR_MODIFIERS)
+_COLOR_TEXT = f"coalesce(array_to_string({_COLOR_WORDS}[1:CASE WHEN {_TWO_WORD_COLOR} THEN 2 ELSE 1 END], ' '), '')"
+
+# Varieties first, with their color and the check of their own group; then the groups
+# under which each was sold.
 CATALOG_BUILD = f"""
-WITH items AS (SELECT CASE WHEN l_linenumber = 7 AND l_returnflag = 'R' THEN NULL ELSE CAST(l_partkey AS VARCHAR) END AS variety,
-                      'Brand#' || (l_suppkey % 27) AS product_group FROM lineitem),
-variety_t AS (SELECT CAST(p_partkey AS VARCHAR) AS k, CASE WHEN p_size = 50 THEN NULL ELSE {_VARIETY_NAME} END AS variety_name,
-                     CAST(p_partkey % 30 AS VARCHAR) AS color, CASE WHEN p_size = 49 THEN 'none' ELSE p_brand END AS product_group FROM part),
-group_t AS (SELECT k, {_COMMON_NAME} AS common_name FROM (SELECT p_brand AS k, min(p_size) AS p_size FROM part GROUP BY p_brand)),
-color_t AS (SELECT CAST(n_nationkey AS VARCHAR) AS k, {_COLOR_NAME} AS color_name FROM nation),
-base AS (
-  SELECT DISTINCT i.variety, v.product_group AS own_group, lower(v.variety_name) AS variety_name, lower(COALESCE(g.common_name, '')) AS common_name,
-    CASE WHEN c.color_name IS NULL THEN ''
-         WHEN lower(c.color_name) LIKE 'dark %' OR lower(c.color_name) LIKE 'light %'
-           THEN split_part(lower(c.color_name), ' ', 1) || ' ' || split_part(lower(c.color_name), ' ', 2)
-         ELSE split_part(lower(c.color_name), ' ', 1) END AS color_prefix
-  FROM items i LEFT JOIN variety_t v ON i.variety = v.k LEFT JOIN group_t g ON g.k = i.product_group LEFT JOIN color_t c ON c.k = v.color
-  WHERE i.variety NOT IN ({_listed(_EXCLUDED_VARIETIES)}) AND i.product_group NOT IN ({_listed(_EXCLUDED_GROUPS)})),
-clean AS (
-  SELECT variety, {sql_phrase("(color_prefix || ' ' || variety_name || ' ' || common_name)")} AS phrase FROM base
-  WHERE variety_name NOT LIKE '%bouquet%' AND variety_name NOT LIKE '%box%' AND variety_name NOT LIKE '%total%'
-    AND common_name NOT LIKE '%bouquet%' AND common_name NOT LIKE '%box%' AND common_name NOT LIKE '%total%')
-SELECT DISTINCT {sql_catalog_name('phrase')} AS product_name, w.variety
-FROM clean w JOIN variety_t v ON w.variety = v.k JOIN group_t p ON p.k = v.product_group"""
+WITH brand AS (SELECT p_brand AS k, min(p_size) AS p_size FROM part GROUP BY p_brand),
+grp AS (SELECT k, lower(coalesce({_COMMON_NAME}, '')) AS common FROM brand),
+tint AS (SELECT CAST(n_nationkey AS VARCHAR) AS k, {_COLOR_NAME} AS color_name FROM nation),
+kind AS (
+  SELECT CAST(p_partkey AS VARCHAR) AS variety, lower(CASE WHEN p_size <> 50 THEN {_VARIETY_NAME} END) AS name,
+         CAST(p_partkey % 30 AS VARCHAR) AS tint_key, CASE WHEN p_size = 49 THEN 'none' ELSE p_brand END AS home FROM part),
+usable AS (
+  SELECT variety, name, (SELECT {_COLOR_TEXT} FROM tint WHERE tint.k = tint_key) AS prefix FROM kind
+  WHERE EXISTS (SELECT 1 FROM grp WHERE grp.k = home) AND {_free_of('name')}),
+sold AS (
+  SELECT DISTINCT CASE WHEN NOT (l_linenumber = 7 AND l_returnflag = 'R') THEN CAST(l_partkey AS VARCHAR) END AS variety,
+         'Brand#' || (l_suppkey % 27) AS under FROM lineitem),
+wanted AS (
+  SELECT * FROM sold WHERE variety NOT IN ({_listed(_EXCLUDED_VARIETIES)}) AND under NOT IN ({_listed(_EXCLUDED_GROUPS)})),
+named AS (
+  SELECT variety, coalesce(prefix, '') || ' ' || name || ' ' || coalesce(common, '') AS raw
+  FROM wanted JOIN usable USING (variety) LEFT JOIN grp ON grp.k = under WHERE {_free_of("coalesce(common, '')")})
+SELECT DISTINCT {sql_catalog_name('phrase')} AS product_name, variety
+FROM (SELECT variety, {sql_phrase('raw')} AS phrase FROM named)"""
 
 # --- similarity --------------------------------------------------------------------
 
@@ -134,8 +145,8 @@ _SELLER_NAME = """CASE p_partkey % 6
   WHEN 0 THEN split_part(p_name, ' ', 2) || 's ' || p_type || ' ' || split_part(p_name, ' ', 1)
   WHEN 1 THEN p_name || ' ' || p_type WHEN 2 THEN 'Pink ' || p_type || ' ' || p_name
   WHEN 3 THEN 'Spray ' || p_type || ' ' || p_name WHEN 4 THEN split_part(p_name, ' ', 1) || ' ' || p_type
-  ELSE 'GARDEN ' || p_name END"""
-_OWN_NAME = "p_type || ' ' || p_name || CASE p_size % 5 WHEN 0 THEN ' Spray' WHEN 1 THEN '' ELSE 's' END"
+  ELSE 'GARDEN ' || p_name || ' Iris' END"""
+_OWN_NAME = "p_type || ' ' || p_name || CASE p_size % 5 WHEN 0 THEN ' Spray' WHEN 1 THEN '' WHEN 2 THEN ' Irises' ELSE 's' END"
 
 _RULES = MatchRules(
     color_words=("red", "blue", "pink", "hot", "cold"),
@@ -216,7 +227,8 @@ def match_judgement(spark, sf_dir):
 
 def _words_sql(name: str) -> str:
     words = rf"list_filter(regexp_split_to_array(lower({name}), '[^\p{{L}}0-9]+'), lambda w: w <> '')"
-    return rf"list_distinct(list_transform({words}, lambda w: regexp_replace(regexp_replace(w, '(..)ies$', '\1y'), '(..[^siu])s$', '\1')))"
+    singular = rf"regexp_replace(regexp_replace(regexp_replace(w, '(..)ies$', '\1y'), '(.(?:sh|ch|x|ss|is|us))es$', '\1'), '(..[^siu])s$', '\1')"
+    return f"list_distinct(list_transform({words}, lambda w: {singular}))"
 
 
 def _list_sql(words) -> str:

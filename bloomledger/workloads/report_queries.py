@@ -115,7 +115,8 @@ _SELLERS = " + ".join(f"""CAST("{r}" IS NOT NULL AS INTEGER)""" for r in _REGION
 
 PRICE_COMPARISON = f"""
 SELECT *, CAST({_SELLERS} AS BIGINT) AS n_competitors, greatest({_QUOTED}) - least({_QUOTED}) AS spread FROM (
-  SELECT variety_key, eta_date, {_MINIMA}
+  SELECT variety_key, eta_date, {_MINIMA},
+    count(stem_price) FILTER (competitor IS NULL OR competitor NOT IN ({", ".join(f"'{r}'" for r in _REGIONS)})) AS n_other
   FROM ({LINE_PRICES}) JOIN ({PART_MAPPING}) USING (competitor_product_id) GROUP BY ALL)"""
 
 
@@ -195,7 +196,7 @@ FROM customer"""
 def _customers_with_gaps(spark, sf_dir):
     return table(spark, sf_dir, "customer").select(
         "c_custkey", "c_name",
-        F.lit(None).cast("double").alias("never"), F.lit("").alias("blank"),
+        F.when(F.col("c_acctbal") < -5000, F.col("c_acctbal")).alias("never"), F.lit("").alias("blank"),
         F.when(F.col("c_custkey") == 7, F.lit("x")).otherwise(F.lit("")).alias("once"),
         F.array().cast("array<string>").alias("no_tags"),
         F.lit(0).alias("zero"),
@@ -206,18 +207,36 @@ def filled_columns(spark, sf_dir):
     return tb.filled_columns(_customers_with_gaps(spark, sf_dir))
 
 
-FILLED_COLUMNS = "SELECT 1 AS c_custkey, 1 AS c_name, 0 AS never, 0 AS blank, 1 AS once, 0 AS no_tags, 1 AS zero FROM customer LIMIT 1"
+_GAPS_SQL = """
+SELECT c_custkey, c_name, CASE WHEN c_acctbal < -5000 THEN c_acctbal END AS never, '' AS blank,
+       CASE WHEN c_custkey = 7 THEN 'x' ELSE '' END AS once, CAST([] AS VARCHAR[]) AS no_tags, 0 AS zero FROM customer"""
+_GAP_TESTS = {
+    "c_custkey": "c_custkey IS NOT NULL", "c_name": "c_name <> ''", "never": "never IS NOT NULL", "blank": "blank <> ''",
+    "once": "once <> ''", "no_tags": "len(no_tags) > 0", "zero": "zero IS NOT NULL",
+}
+
+FILLED_COLUMNS = (
+    "SELECT " + ", ".join(f"CAST(coalesce(max(CASE WHEN {t} THEN 1 ELSE 0 END), 0) AS INTEGER) AS {c}" for c, t in _GAP_TESTS.items())
+    + f" FROM ({_GAPS_SQL})"
+)
 
 
 def prune_empty_columns(spark, sf_dir):
-    return tb.prune_empty_columns(_customers_with_gaps(spark, sf_dir))
+    """Columns left, with their values: one row per column and text of a value."""
+    kept = tb.prune_empty_columns(_customers_with_gaps(spark, sf_dir))
+    cells = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for c in kept.columns])
+    return kept.select(F.explode(cells).alias("cell")).groupBy("cell.name", "cell.value").agg(F.count("*").alias("n_rows"))
 
 
-PRUNE_EMPTY_COLUMNS = "SELECT c_custkey, c_name, CASE WHEN c_custkey = 7 THEN 'x' ELSE '' END AS once, 0 AS zero FROM customer"
+PRUNE_EMPTY_COLUMNS = " UNION ALL ".join(
+    f"SELECT '{c}' AS name, CAST({c} AS VARCHAR) AS value, count(*) AS n_rows FROM ({_GAPS_SQL}) "
+    f"WHERE EXISTS (SELECT 1 FROM ({_GAPS_SQL}) WHERE {t}) GROUP BY ALL"
+    for c, t in _GAP_TESTS.items()
+)
 
 
 def first_n_ordered(spark, sf_dir):
-    """The first items in key order, as the catalog's row limit takes them."""
+    """A plain limit: the first rows of a stated order."""
     lines = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_orderkey", "l_linenumber")
     return first_rows(lines, 12000, "l_partkey", "l_suppkey", "l_orderkey", "l_linenumber")
 

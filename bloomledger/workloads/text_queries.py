@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from bloomledger import fixed_values as fv
 from bloomledger.functions import measures as ms
 from bloomledger.functions import text as tx
 from bloomledger.operators.filters import has_no_keyword, not_in_keys
@@ -20,7 +21,6 @@ from bloomledger.workloads.common import (
     sql_stem_length,
     sql_stems_per_unit,
     sql_title_case,
-    spread_table,
     table,
 )
 
@@ -48,7 +48,7 @@ _ANY_BLANK = (
 
 
 def clean_safe(spark, sf_dir):
-    docs = spread_table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents")
     return docs.select("doc_id", tx.safe_clean(F.col("text")).alias("clean_text"))
 
 
@@ -58,7 +58,7 @@ FROM documents"""
 
 
 def word_dedup(spark, sf_dir):
-    docs = spread_table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents")
     words = tx.distinct_words(F.col("text"))
     return docs.select(
         "doc_id",
@@ -160,7 +160,7 @@ def first_tag(spark, sf_dir):
 
 FIRST_TAG = "SELECT p_partkey, CASE WHEN p_size % 3 = 1 THEN p_type ELSE '' END AS color FROM part"
 
-_CATALOG_RAW = "CASE p_partkey % 6 WHEN 0 THEN p_name || ' (Jumbo ' || p_type || ')' WHEN 1 THEN p_name || ' * Fragrance * ' || p_type WHEN 2 THEN p_name || ' (' || p_type || ') cannot be cancelled' WHEN 3 THEN p_name || '/' || p_type || ' (petite) (x)' WHEN 4 THEN p_name || ' ' || p_name || ' 4you' ELSE p_type END"
+_CATALOG_RAW = "CASE p_partkey % 6 WHEN 0 THEN p_name || ' (Jumbo ' || p_type || ')' WHEN 1 THEN p_name || ' * Fragrance * ' || p_type WHEN 2 THEN p_name || ' (' || p_type || ') cannot be cancelled' WHEN 3 THEN p_name || '/' || p_type || ' (petite) (x)' WHEN 4 THEN p_name || ' ' || p_name || ' 4you' ELSE chr(9) || p_type || chr(9) || ' x' END"
 
 
 def catalog_phrases(spark, sf_dir):
@@ -170,18 +170,21 @@ def catalog_phrases(spark, sf_dir):
 
 
 def sql_phrase(text: str) -> str:
-    text = sql_replace(text, r"[\*\s]*fragrance[\*\s]*|\bcannot be cancelled\b", "", "gi")
-    text = sql_replace(
-        text, r"\(([^)]*\b(select|petit|petite|jumbo|italian|spray|mini|total)\b[^)]*)\)", r"__KEEP__\1__KEEP__"
-    )
-    return f"replace({sql_replace(text, r'\([^)]*\)')}, '__KEEP__', '')"
+    """Pieces between parentheses, and of these the inner texts with a listed word, in turn."""
+    phrases = rf"[\*\s]*{fv.REMOVED_WITH_STARS}[\*\s]*|\b{fv.REMOVED_PHRASE}\b"
+    text = sql_replace(text, phrases, "", "gi")
+    outer = f"string_split_regex({text}, '\([^)]*\)')"
+    inner = f"regexp_extract_all({text}, '\(([^)]*)\)', 1)"
+    listed = rf"\b({'|'.join(fv.KEPT_IN_PARENTHESES)})\b"
+    kept = f"list_transform({inner}, lambda w: CASE WHEN regexp_matches(w, '{listed}') THEN w ELSE '' END)"
+    return f"array_to_string(list_transform(list_zip({outer}, {kept}), lambda z: z[1] || coalesce(z[2], '')), '')"
 
 
 def sql_catalog_name(phrase: str) -> str:
     words = f"list_filter(string_split({phrase}, ' '), lambda w: w <> '' AND NOT regexp_matches(w, '\\d'))"
     first = f"list_filter({words}, lambda w, i: list_position({words}, w) = i)"
-    joined = sql_replace(f"trim(array_to_string({first}, ' '))", r"\s+", " ")
-    return sql_title_case(joined)
+    joined = sql_replace(f"array_to_string({first}, ' ')", r"\s+", " ")
+    return sql_title_case(f"trim({joined})")
 
 
 CATALOG_PHRASES = f"""
