@@ -33,7 +33,7 @@ from bloomledger.llm.common import settle, table, with_small
 K = 16
 W = 32
 STEP = 8192
-CELL_ROWS = 1000
+CELL_ROWS = 200
 
 _POSITION_BITS = 31
 _TOP = 2**_POSITION_BITS - 1
@@ -49,8 +49,11 @@ def _doubled(values: Column, distance: int) -> Column:
     return _let(values, lambda v: F.zip_with(v, F.slice(v, distance + 1, F.size(v)), lambda a, b: F.least(a, b)))
 
 
-def packed_fingerprint(text: Column, k: int = K, w: int = W, step: int = STEP) -> Column:
-    """Selected hashes of a text with their positions, packed, in text order."""
+def packed_fingerprint(text: Column, k: int = K, w: int = W, step: int = STEP, short: bool = True) -> Column:
+    """Selected hashes of a text with their positions, packed, in text order.
+
+    A text too short for a window has one of what it has, or none if not `short`.
+    """
     if w & (w - 1):
         raise ValueError("the window must be a power of two")
     empty = F.array().cast("array<bigint>")
@@ -62,9 +65,10 @@ def packed_fingerprint(text: Column, k: int = K, w: int = W, step: int = STEP) -
         return F.when(n_chars > 0, _let(grams, lambda grams: steps(points, grams))).otherwise(empty)
 
     def steps(points: Column, grams: Column) -> Column:
-        windows = F.greatest(grams - (w - 1), F.lit(1))
-        starts = F.sequence(F.lit(0), windows - 1, F.lit(step))
-        return F.array_distinct(F.flatten(F.transform(starts, lambda start: one_step(points, grams, windows, start))))
+        windows = F.greatest(grams - (w - 1), F.lit(1 if short else 0))
+        starts = F.sequence(F.lit(0), F.greatest(windows, F.lit(1)) - 1, F.lit(step))
+        found = F.array_distinct(F.flatten(F.transform(starts, lambda start: one_step(points, grams, windows, start))))
+        return found if short else F.when(windows > 0, found).otherwise(empty)
 
     def one_step(points: Column, grams: Column, windows: Column, start: Column) -> Column:
         last = F.least(start + (step + w - 2), grams - 1)
@@ -83,6 +87,48 @@ def packed_fingerprint(text: Column, k: int = K, w: int = W, step: int = STEP) -
     return _let(points, select)
 
 
+def _position(v: Column) -> Column:
+    return F.lit(_TOP) - v.bitwiseAND(F.lit(_TOP))
+
+
+def of_beginning(packed: Column, n_chars: Column, k: int = K, w: int = W) -> Column:
+    """What the windows inside a text's first `n_chars` code points select, from its fingerprint.
+
+    A selected hash is first chosen by the window that ends with it if it is less than the one
+    selected before it, and else by the window after that one's place.
+    """
+    windows = n_chars - (k + w - 2)
+
+    def chosen(v: Column, i: Column) -> Column:
+        before = F.get(packed, i - 1)
+        first = F.when(i == 0, F.lit(0)).when(v < before, _position(v) - (w - 1)).otherwise(_position(before) + 1)
+        return first < windows
+
+    return F.filter(packed, chosen)
+
+
+def moved(packed: Column, distance: Column) -> Column:
+    """A fingerprint with all positions `distance` further on."""
+    return F.transform(packed, lambda v: v - distance.cast("long"))
+
+
+def joined_fingerprint(
+    packed: Column, kept: Column, next_packed: Column, given: Column, text: Column, k: int = K, w: int = W
+) -> Column:
+    """The fingerprint of `text`, made of the first `kept` code points of one text and the
+    first `given` of another, from the fingerprints of these: only the windows that span the
+    seam are hashed."""
+    around = k + w - 2
+    start = F.greatest(kept - around, F.lit(0))
+    seam = packed_fingerprint(F.substring(text, start + 1, kept + around - start), k, w, short=False)
+    parts = F.concat(
+        of_beginning(packed, kept, k, w),
+        _let(start, lambda start: moved(seam, start)),
+        moved(of_beginning(next_packed, given, k, w), kept),
+    )
+    return F.when(kept + given <= around, packed_fingerprint(text, k, w)).otherwise(F.array_distinct(parts))
+
+
 def gram_hashes(packed: Column) -> Column:
     """The distinct hashes of a fingerprint."""
     return F.array_distinct(F.transform(packed, lambda v: F.shiftrightunsigned(v, _POSITION_BITS)))
@@ -92,8 +138,7 @@ def written(packed: Column) -> Column:
     """A fingerprint as text: hash:position of each selected run, hashes in hexadecimal."""
 
     def entry(v: Column) -> Column:
-        position = F.lit(_TOP) - v.bitwiseAND(F.lit(_TOP))
-        return F.concat_ws(":", F.lower(F.hex(F.shiftrightunsigned(v, _POSITION_BITS))), position.cast("string"))
+        return F.concat_ws(":", F.lower(F.hex(F.shiftrightunsigned(v, _POSITION_BITS))), _position(v).cast("string"))
 
     return F.array_join(F.transform(packed, entry), " ")
 
@@ -143,21 +188,25 @@ def edited_text(text: Column, next_text: Column) -> Column:
 def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packed_fingerprint(F.col("text")).alias("packed")
     rows = neighbours(table(spark, sf_dir, "documents"), [packed])
+    half = F.floor(F.length("text") / 2).cast("int")
     rows = rows.select(
         "doc_id",
-        F.length("text").cast("long").alias("n_chars"),
+        F.length("text").alias("n_chars"),
         "packed",
-        gram_hashes(F.col("next_packed")).alias("next_hashes"),
+        "next_packed",
+        (F.length("text") - half).alias("kept"),
+        F.least(half, F.length("next_text")).alias("given"),
         edited_text(F.col("text"), F.col("next_text")).alias("edited"),
     )
-    rows = rows.withColumn("edited_packed", packed_fingerprint(F.col("edited")))
+    joined = joined_fingerprint(*map(F.col, ("packed", "kept", "next_packed", "given", "edited")))
+    rows = rows.withColumn("edited_packed", joined)
     rows = rows.withColumn("hashes", gram_hashes(F.col("packed")))
     return rows.select(
         "doc_id",
-        "n_chars",
+        F.col("n_chars").cast("long").alias("n_chars"),
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
         written(F.col("packed")).alias("fingerprint"),
         written(F.col("edited_packed")).alias("edited_fingerprint"),
         likeness(F.col("hashes"), gram_hashes(F.col("edited_packed"))).alias("near_edited"),
-        likeness(F.col("hashes"), F.col("next_hashes")).alias("near_next"),
+        likeness(F.col("hashes"), gram_hashes(F.col("next_packed"))).alias("near_next"),
     )
