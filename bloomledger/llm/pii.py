@@ -41,6 +41,7 @@ BATCH_TOKENS = 50_000
 
 _OTHER = len(KINDS)  # the label of everything else
 _LABELS = len(KINDS) + 1
+_NAMES = 7  # features of a token
 
 _CANDIDATE = re.compile(r"[0-9@]")
 _TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
@@ -195,7 +196,7 @@ class Tokens:
 
     def arrays(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         pairs = [np.array(e, np.int64).reshape(-1, 2) for e in (self.chain, self.skip)]
-        return np.array(self.features, np.int64).reshape(len(self.features), -1), *pairs
+        return np.array(self.features, np.int64).reshape(len(self.features), _NAMES), *pairs
 
     def labels(self, spans: list[list[Span]]) -> np.ndarray:
         """The kind of the base span that each token overlaps."""
