@@ -173,8 +173,8 @@ def sql_phrase(text: str) -> str:
     """Pieces between parentheses, and of these the inner texts with a listed word, in turn."""
     phrases = rf"[\*\s]*{fv.REMOVED_WITH_STARS}[\*\s]*|\b{fv.REMOVED_PHRASE}\b"
     text = sql_replace(text, phrases, "", "gi")
-    outer = f"string_split_regex({text}, '\([^)]*\)')"
-    inner = f"regexp_extract_all({text}, '\(([^)]*)\)', 1)"
+    outer = rf"string_split_regex({text}, '\([^)]*\)')"
+    inner = rf"regexp_extract_all({text}, '\(([^)]*)\)', 1)"
     listed = rf"\b({'|'.join(fv.KEPT_IN_PARENTHESES)})\b"
     kept = f"list_transform({inner}, lambda w: CASE WHEN regexp_matches(w, '{listed}') THEN w ELSE '' END)"
     return f"array_to_string(list_transform(list_zip({outer}, {kept}), lambda z: z[1] || coalesce(z[2], '')), '')"
