@@ -9,10 +9,10 @@
    that meets most others over all its buckets, which in a group of copies of one text is
    that text.  Edges are confirmed on the full sets.
 4. A star can hide a link between two members whose centre is linked to one of them at
-   most.  For buckets that still hold more than one component, the members outside the
-   largest one are compared with the members of other components, unless the triangle
-   inequality of the Jaccard distance, over the known distances to the centre, rules a
-   link out.  So every link inside a bucket counts.
+   most.  In buckets that still hold more than one component, all members are compared, as
+   a product of their shingle matrices inside a task, and only links between components
+   leave it.  So every link inside a bucket counts, and no pairs are listed.  Large buckets
+   are cut into pairs of blocks of bounded size.
 5. Connected components of the confirmed links.
 
 Edges of a hot centre are cut into blocks of bounded size.  Band rows are counted before
@@ -20,7 +20,7 @@ they are joined, and full sets are computed from text again where they are compa
 
 Null or blank text: empty set, linked with nothing, a component of its own.  Null doc_id:
 one document, the smallest; its component_id is null.  Rows with equal doc_id are one
-document with several texts: they share a component.  An empty table gives an empty
+document: they share a component, and if their texts differ its links are judged on any one.  An empty table gives an empty
 result.  Other columns are not read.
 """
 
@@ -40,7 +40,8 @@ from bloomledger.llm.shingles import shingle_sets
 PERCENT = 85
 BANDS, ROWS = 32, 7
 BINS = BANDS * ROWS
-BLOCK = 256  # edges of a centre that one group holds
+BLOCK = 256  # edges of a centre, or members of a bucket, that one group holds
+COLUMNS = 4096  # shingles of a matrix part
 
 # Order in which an empty bin (row) looks for a filled one (column).
 _BORROW = mix64(np.arange(BINS * BINS, dtype=np.uint64) + np.uint64(1)).reshape(BINS, BINS)
@@ -129,12 +130,10 @@ def overlaps(texts: DataFrame, edges: DataFrame) -> DataFrame:
     blocks = edges.groupBy("a").agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("blocks"))
     cut = edges.join(blocks, "a").withColumn("block", F.pmod(F.xxhash64("b"), F.col("blocks"))).select("a", "b", "block")
     cut = settle(cut)
-    members = cut.join(texts, cut["b"] == texts["k"]).select("a", "block", "b", "text")
+    members = cut.select(F.col("b").alias("k"), "a", "block", "b")
     centres = cut.select("a", "block").distinct()
-    centres = centres.join(texts, centres["a"] == texts["k"]).select(
-        "a", "block", F.lit(None).cast("long").alias("b"), "text"
-    )
-    grouped = members.unionByName(centres).repartition("a", "block")
+    centres = centres.select(F.col("a").alias("k"), "a", "block", F.lit(None).cast("long").alias("b"))
+    grouped = members.unionByName(centres).join(texts, "k").select("a", "block", "b", "text").repartition("a", "block")
     ordered = grouped.sortWithinPartitions("a", "block", F.col("b").asc_nulls_first())
     return ordered.select("a", "b", "text").mapInArrow(_compare, "a long, b long, shared long, either long")
 
@@ -156,19 +155,19 @@ def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     centres = rows.groupBy("bucket").agg(F.min(F.struct(-F.col("meets"), "r"))["r"].alias("centre"))
     rows = settle(rows.select("bucket", "r").join(centres, "bucket"))
 
+    # All comparisons are between classes that share a bucket: their texts are moved once.
+    texts = settle(texts.join(rows.select(F.col("r").alias("k")).distinct(), "k", "left_semi"))
     stars = rows.filter("r <> centre").select(F.col("centre").alias("a"), F.col("r").alias("b")).distinct()
-    # A rerun of a class's text must be the text whose set it stands for; one row each.
-    measured = settle(overlaps(texts, stars).groupBy("a", "b").agg(F.max(F.struct("shared", "either")).alias("o")).select("a", "b", "o.*"))
+    measured = overlaps(texts, stars).groupBy("a", "b").agg(F.max(F.struct("shared", "either")).alias("o"))
+    measured = settle(measured.select("a", "b", "o.*"))
     linked = f"100 * shared >= {percent} * either"
     links = measured.filter(linked).select("a", "b")
     links = links.unionByName(_same_id_links(classes, prints, same))
     groups = settle(connected_components(links))
 
-    hidden = _hidden_pairs(rows, measured, groups, 1 - percent / 100)
-    if not hidden.isEmpty():
-        late = overlaps(texts, hidden).filter(linked).select("a", "b")
-        edges = groups.select(F.col("id").alias("a"), F.col("component").alias("b"))
-        groups = settle(connected_components(edges.unionByName(late)))
+    late = settle(_hidden_links(rows, groups, texts, percent))
+    edges = groups.select(F.col("id").alias("a"), F.col("component").alias("b"))
+    groups = settle(connected_components(edges.unionByName(late)))
 
     classes = classes.drop("bands").join(groups, classes["r"] == groups["id"], "left")
     classes = classes.select(*same, F.coalesce("component", "r").alias("component"))
@@ -185,31 +184,78 @@ def _same_id_links(classes: DataFrame, prints: DataFrame, same: list[str]) -> Da
     return found.join(first, "k").filter("a <> r").select("a", F.col("r").alias("b"))
 
 
-def _hidden_pairs(rows: DataFrame, measured: DataFrame, groups: DataFrame, reach: float) -> DataFrame:
-    """Pairs that share a bucket, are in different components and may still be linked."""
+def links_between(sets: list[np.ndarray], component: np.ndarray, block: np.ndarray, percent: int) -> np.ndarray:
+    """Pairs of rows (i < j) of different components that are linked.
+
+    If rows are of two blocks, only pairs across them are looked at.
+    """
+    sizes = np.array([len(s) for s in sets], np.int64)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    _, column, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    common = counts[column] > 1  # a shingle of one row alone adds to no intersection
+    owner, column = owner[common], column[common]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], np.unique(column[order], return_inverse=True)[1]
+    shared = np.zeros((len(sets), len(sets)), np.float32)
+    for low in range(0, int(column.max()) + 1 if len(column) else 0, COLUMNS):
+        start, end = np.searchsorted(column, [low, low + COLUMNS])
+        part = np.zeros((len(sets), COLUMNS), np.float32)
+        part[owner[start:end], column[start:end] - low] = 1
+        shared += part @ part.T
+    either = sizes[:, None] + sizes[None, :] - shared
+    linked = (100 * shared >= percent * either) & (component[:, None] != component[None, :])
+    if len(np.unique(block)) > 1:
+        linked &= block[:, None] != block[None, :]
+    return np.argwhere(np.triu(linked, 1))
+
+
+def _hidden_links(rows: DataFrame, groups: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Links between components inside buckets; those of the centres are known."""
     rows = rows.join(groups, rows["r"] == groups["id"], "left").select(
         "bucket", "r", "centre", F.coalesce("component", "r").alias("component")
     )
-    mixed = rows.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
-    rows = rows.join(mixed.select("bucket"), "bucket")
-    far = measured.select(F.col("a").alias("centre"), F.col("b").alias("r"), (1 - F.col("shared") / F.col("either")).alias("d"))
-    rows = settle(rows.join(far, ["centre", "r"], "left").withColumn("d", F.coalesce("d", F.lit(0.0))))
-    sizes = rows.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-    largest = sizes.groupBy("bucket").agg(F.max(F.struct("n", "component"))["component"].alias("largest"))
-    rows = rows.join(largest, "bucket")
-    one, other = rows.filter("component <> largest").alias("x"), rows.alias("y")
-    may = (
-        (F.col("x.bucket") == F.col("y.bucket"))
-        & (F.col("x.component") != F.col("y.component"))
-        # The centre's own distances are measured already.
-        & (F.col("x.r") != F.col("x.centre"))
-        & (F.col("y.r") != F.col("y.centre"))
-        & (F.abs(F.col("x.d") - F.col("y.d")) <= reach + 1e-9)
+    buckets = rows.groupBy("bucket").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")
     )
-    pairs = one.join(other, may).select(
-        F.least("x.r", "y.r").alias("a"), F.greatest("x.r", "y.r").alias("b")
+    mixed = buckets.filter("lo <> hi and n > 2").select("bucket", F.ceil(F.col("n") / BLOCK).alias("blocks"))
+    rows = rows.filter("r <> centre").join(mixed, "bucket")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("r"), F.col("blocks")))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    rows = rows.select(
+        F.col("r").alias("k"), "bucket", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"), "block", "component"
     )
-    return settle(pairs.distinct())
+    key = ["bucket", "one", "two"]
+    grouped = settle(rows).join(texts, "k").repartition(*key).sortWithinPartitions(*key)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, blocks, components, sets in _whole_groups(batches):
+            pairs = links_between(sets, components, blocks, percent)
+            if len(pairs):
+                yield pa.RecordBatch.from_arrays([pa.array(ids[pairs[:, 0]]), pa.array(ids[pairs[:, 1]])], names=["a", "b"])
+
+    return grouped.select(*key, "k", "block", "component", "text").mapInArrow(compare, "a long, b long").distinct()
+
+
+def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """Ids, blocks, components and shingle sets of the rows with one key, which follow each other."""
+    key, ids, blocks, components, sets = None, [], [], [], []
+    for batch in batches:
+        keys = list(zip(*(batch.column(c).to_pylist() for c in ("bucket", "one", "two"))))
+        own = [batch.column(c).to_pylist() for c in ("k", "block", "component")]
+        data, offsets = text_buffers(batch.column("text"))
+        for start, end in row_chunks(offsets):
+            part = offsets[start : end + 1]
+            for row, one in enumerate(shingle_sets(data[part[0] : part[-1]], part - part[0]), start):
+                if keys[row] != key:
+                    if len(ids) > 1:
+                        yield np.array(ids), np.array(blocks), np.array(components), sets
+                    key, ids, blocks, components, sets = keys[row], [], [], [], []
+                ids.append(own[0][row])
+                blocks.append(own[1][row])
+                components.append(own[2][row])
+                sets.append(one)
+    if len(ids) > 1:
+        yield np.array(ids), np.array(blocks), np.array(components), sets
 
 
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
