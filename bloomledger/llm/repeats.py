@@ -8,6 +8,9 @@ string, the one with the least hash (the rightmost of equals) is its anchor; cop
 string have the same anchor at the same place, and neighbouring strings mostly share theirs,
 so there is one suffix for about 40 bytes.
 
+0. A document whose whole text equals that of an earlier one goes as a whole (if it is long
+   enough); its strings all start earlier, and none of them is first, so it takes no part in
+   what follows.
 1. Anchors are partitioned by sampled splitters of their hashes and sorted; those whose gram
    occurs once are dropped (at a partition's ends they are kept, which loses nothing).
 2. The remaining suffixes, with the few bytes around them that their strings cover, are
@@ -106,12 +109,11 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = text_buffers(batch.column("text"))
         keys = batch.column("k").to_numpy(zero_copy_only=False)
-        for start, end in row_chunks(offsets):
+        for start, end in row_chunks(offsets, CHUNK_BYTES):
             part = offsets[start : end + 1]
             chunk = data[part[0] : part[-1]]
-            pieces = _row_pieces(chunk) if len(chunk) > CHUNK_BYTES else [(0, chunk)]
-            for shift, piece in pieces:
-                rows = part - part[0] if len(chunk) <= CHUNK_BYTES else np.array([0, len(piece)])
+            for shift, piece in _row_pieces(chunk) if end == start + 1 else [(0, chunk)]:
+                rows = part - part[0] if end > start + 1 else np.array([0, len(piece)])
                 gram, row, anchor, low, high = anchors(piece, rows)
                 packed = ((anchor + shift) << 14) | ((anchor - low) << 7) | (anchor - high)
                 yield pa.RecordBatch.from_arrays(
@@ -375,7 +377,12 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def repeated_spans(texts: DataFrame) -> DataFrame:
     """k, spans: byte ranges of each document (columns k, text) that are repeated, unmerged."""
-    grams = texts.mapInArrow(_anchor_rows, "h long, k long, p long")
+    whole = texts.select("k", F.md5(F.col("text").cast("binary")).alias("digest"), F.octet_length("text").cast("long").alias("e"))
+    whole = whole.filter(F.col("e") >= LENGTH)
+    firsts = whole.groupBy("digest", "e").agg(F.min("k").alias("first"))
+    copies = whole.join(firsts, ["digest", "e"]).filter("k <> first").select("k", F.lit(0).cast("long").alias("s"), "e").distinct()
+
+    grams = texts.join(copies.select("k"), "k", "left_anti").select("k", "text").mapInArrow(_anchor_rows, "h long, k long, p long")
     grams = grams.repartitionByRange("h", "k").sortWithinPartitions("h")
     places = grams.mapInArrow(_repeated, "k long, p long").groupBy("k").agg(F.collect_list("p").alias("ps"))
     suffixes = texts.join(places, "k").select("k", "text", "ps")
@@ -388,6 +395,7 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     in_order = Window.partitionBy("w", "sure").orderBy("k", "s")
     first = F.first(F.struct("k", "s")).over(in_order)
     marks = marks.withColumn("first", first).filter(F.col("sure") | (F.col("first") != F.struct("k", "s")))
+    marks = marks.select("k", "s", "e").unionByName(copies)
     return marks.groupBy("k").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
 
 
