@@ -266,3 +266,32 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         id_of("component").alias("component_id"),
         (F.col("k") == F.col("component")).alias("kept"),
     )
+
+
+# All pairs of documents that share a shingle, and everything that can be reached over links.
+OP5_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), sets AS (
+  SELECT doc_id, CASE
+    WHEN len(w) >= 5 THEN list_distinct(list_transform(generate_series(1, len(w) - 4), lambda i: array_to_string(w[i:i + 4], ' ')))
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE CAST([] AS VARCHAR[]) END AS s FROM words
+), sizes AS (
+  SELECT doc_id, len(s) AS n FROM sets
+), members AS (
+  SELECT doc_id, unnest(s) AS g FROM sets
+), pairs AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared FROM members x JOIN members y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM pairs JOIN sizes i ON i.doc_id = a JOIN sizes j ON j.doc_id = b WHERE 100 * shared >= 85 * (i.n + j.n - shared)
+), steps AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reached AS (
+  SELECT doc_id, doc_id AS other FROM sizes
+  UNION
+  SELECT r.doc_id, s.b FROM reached r JOIN steps s ON s.a = r.other
+)
+SELECT doc_id, CAST(any_value(n) AS BIGINT) AS n_shingles, min(other) AS component_id, doc_id = min(other) AS kept
+FROM reached JOIN sizes USING (doc_id) GROUP BY doc_id
+"""

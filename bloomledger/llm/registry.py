@@ -34,4 +34,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op2_pareto_mix": mixing.OP2_SQL,
+    "op5_minhash_near_dedup": near_dedup.OP5_SQL,
+    "op6_suffix_dedup": repeats.OP6_SQL,
 }

@@ -409,3 +409,30 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = remove_repeats(table(spark, sf_dir, "documents"))
     return found.select(id_of("k").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+# Every string of 100 bytes by its digest, all but the first of equals, and what they cover.
+OP6_SQL = """
+WITH texts AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, CAST(octet_length(encode(coalesce(text, ''))) AS BIGINT) AS n FROM documents
+), strings AS (
+  SELECT doc_id, s, md5(substr(x, 2 * s + 1, 200)) AS d FROM (
+    SELECT doc_id, x, unnest(generate_series(0, n - 100)) AS s FROM texts WHERE n >= 100)
+), again AS (
+  SELECT doc_id, s FROM (SELECT *, row_number() OVER (PARTITION BY d ORDER BY doc_id, s) AS r FROM strings) WHERE r > 1
+), runs AS (
+  SELECT doc_id, s, sum(CASE WHEN s <= before + 100 THEN 0 ELSE 1 END) OVER (PARTITION BY doc_id ORDER BY s) AS run
+  FROM (SELECT doc_id, s, lag(s) OVER (PARTITION BY doc_id ORDER BY s) AS before FROM again)
+), spans AS (
+  SELECT doc_id, min(s) AS b, max(s) + 100 AS e FROM runs GROUP BY doc_id, run
+), rest AS (
+  SELECT doc_id, b, e, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY b), 0) AS kept_from FROM spans
+), cut AS (
+  SELECT doc_id, sum(e - b) AS removed, count(*) AS n_spans, max(e) AS last_end,
+    string_agg(substr(x, 2 * kept_from + 1, 2 * (b - kept_from)), '' ORDER BY b) AS head
+  FROM rest JOIN texts USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, n AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(coalesce(head, '') || substr(x, 2 * coalesce(last_end, 0) + 1))) AS kept_sha256
+FROM texts LEFT JOIN cut USING (doc_id)
+"""
