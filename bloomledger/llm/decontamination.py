@@ -40,11 +40,12 @@ _FILTER_BITS = 22
 _MATCHES = "doc_id long, item_id string, n_probes long, edits long, first_start long, last_end long"
 
 
-def plain_bytes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes that are compared, and the position of each in the text."""
+def plain_bytes(data: np.ndarray, starts: np.ndarray | int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of texts that are compared, and the position of each in the data."""
     blank = IS_BLANK[data]
     keep = ~blank
     keep[1:] |= ~blank[:-1]
+    keep[starts] = True  # a text's first blank never belongs to the text before
     at = np.flatnonzero(keep)
     out = LOWER[data[at]]
     out[blank[at]] = 32
@@ -70,7 +71,7 @@ def edits_allowed(length: int) -> int:
 
 def probes_of(text: bytes) -> list[bytes]:
     """Overlapping probes that cover the comparable text."""
-    plain = plain_bytes(np.frombuffer(text, np.uint8))[0].tobytes().strip(b" ")
+    plain = plain_bytes(np.frombuffer(text, np.uint8))[0].tobytes().strip(b" ") if text else b""
     if len(plain) <= PROBE_BYTES:
         return [plain] if plain else []
     last = len(plain) - PROBE_BYTES
@@ -171,7 +172,8 @@ class Probes:
 
 def search(probes: Probes, data: np.ndarray, offsets: np.ndarray) -> list[tuple[int, int, int, int, int]]:
     """(row, probe, edits, start, end) of every region within its budget; positions in bytes of the row."""
-    plain, at = plain_bytes(data) if len(data) else (data, np.zeros(0, np.int64))
+    starts = offsets[:-1][np.diff(offsets) > 0]
+    plain, at = plain_bytes(data, starts)
     bounds = np.searchsorted(at, offsets)
     grams = gram_keys(plain)
     out = []
@@ -192,7 +194,14 @@ def search(probes: Probes, data: np.ndarray, offsets: np.ndarray) -> list[tuple[
                 stop = min(end, high + size + budget + 1)
                 if stop - start < size - budget:
                     continue
-                found = best_alignment(probes.texts[probe], plain[start:stop], low - start - budget, high - start + budget, budget)
+                # Most regions hold the probe as it is; the others are aligned.
+                exact = plain[start:stop].tobytes().find(probes.texts[probe].tobytes())
+                if exact >= 0:
+                    found = 0, exact, exact + size
+                else:
+                    found = best_alignment(
+                        probes.texts[probe], plain[start:stop], low - start - budget, high - start + budget, budget
+                    )
                 if found:
                     edits, s, e = found
                     span = (row, probe, edits, int(at[start + s] - offsets[row]), int(at[start + e - 1] + 1 - offsets[row]))
