@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from bloomledger.llm.common import CHUNK_BYTES, table
+from bloomledger.llm.common import CHUNK_BYTES, settle, table, with_small
 
 VOCABULARY = "piece_bpe_32k.model"
 SAMPLE_DOCS = 600  # labelled rows of each language that the fit reads
@@ -45,6 +45,8 @@ UNKNOWN = 1e-7  # probability of a character that is no piece
 PRIOR = 0.02  # pseudo-count of every piece
 MEMO_WORDS = 300_000
 
+_HASH_RANGE = 1 << 40
+
 _LETTERS = re.compile(r"[^\W\d_]+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
@@ -254,10 +256,15 @@ def learn(docs: DataFrame, vocabulary: str = VOCABULARY, sample_docs: int = SAMP
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"), F.col("lang").cast("string")
     ).filter((fold_of(F.col("doc_id")) != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    # The rows with the least hashes are the sample.  Their share is known from the counts, so
+    # only about four times as many rows are put in order, however many there are.
+    ids = rows.select("doc_id", "lang", F.pmod(F.xxhash64("doc_id"), F.lit(_HASH_RANGE)).alias("hash"))
+    sizes = settle(ids.groupBy("lang").agg(F.count("*").alias("n_rows")))
+    near = with_small(ids, sizes.withColumnRenamed("lang", "of"), F.col("lang") == F.col("of"))
+    near = near.filter(F.col("hash") < F.lit(4.0 * sample_docs * _HASH_RANGE) / F.col("n_rows"))
+    first = Window.partitionBy("lang").orderBy("hash", "doc_id")
     chosen = (
-        rows.select("doc_id", "lang")
-        .withColumn("place", F.row_number().over(first))
+        near.select("doc_id", "lang", F.row_number().over(first).alias("place"))
         .filter(F.col("place") <= sample_docs)
         .select("doc_id", "lang")
         .distinct()
