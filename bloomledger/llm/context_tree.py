@@ -16,9 +16,9 @@ its path, goes into a table of 2^SLOTS_BITS slots by hash: of contexts that fall
 slot the one with more counts stays, the others predict as their parent does.  Its size is
 fixed, so it is broadcast, and whatever is looked up the chances of a bit add up to one.
 
-The base score needs every word's exact count: documents meet the counts of the `FREQUENT`
-most frequent words by broadcast and those of all others by a shuffle of (document, word)
-pairs.
+The base score needs every word's exact count: documents meet the counts of the most
+frequent words, `FREQUENT` at most, by broadcast and those of all others by a shuffle of
+(document, word) pairs.
 
 Null text is empty: the end is its only token.  Null doc_id: neither learned from nor held
 out.  Rows with equal doc_id are one document: their tokens, an end for each row, add up.
@@ -422,6 +422,20 @@ def learn(texts: DataFrame) -> Model:
 # --- documents ----------------------------------------------------------------------
 
 
+def _frequent_words(vocabulary: DataFrame, most: int) -> DataFrame:
+    """All words above a count that at most `most` words reach, from a histogram of counts."""
+    short = vocabulary.filter((F.col("c") > 0) & (F.octet_length("word") <= FREQUENT_BYTES))
+    step = F.floor(F.log2(F.col("c")) * 8)
+    histogram = short.groupBy(step.alias("step")).agg(F.count("*").alias("n"))  # 500 rows at most
+    total, least = 0, None
+    for row in sorted(histogram.collect(), reverse=True):
+        total += row["n"]
+        if total > most:
+            break
+        least = row["step"]
+    return short.filter(F.lit(False) if least is None else step >= F.lit(least))
+
+
 def text_scores(docs: DataFrame) -> DataFrame:
     """k, held_out, n_tokens, n_known, train_tokens, base_score and score of every document."""
     spark = docs.sparkSession
@@ -436,9 +450,7 @@ def text_scores(docs: DataFrame) -> DataFrame:
     model = learn(rows.filter("train"))
     shared = spark.sparkContext.broadcast((model.codes, model.checks))
     floor = float(n_train + n_words + 1)
-    frequent = (
-        vocabulary.filter(F.octet_length("word") <= FREQUENT_BYTES).orderBy(F.desc("c"), "word").limit(FREQUENT).toArrow()
-    )
+    frequent = _frequent_words(vocabulary, FREQUENT).toArrow()
     known = spark.sparkContext.broadcast(
         ({w: i for i, w in enumerate(frequent["word"].to_pylist())}, frequent["c"].to_numpy())
     )
