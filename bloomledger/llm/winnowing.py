@@ -157,13 +157,7 @@ def neighbours(docs: DataFrame, columns: list[Column], cell_rows: int = CELL_ROW
     width = max(((extent[2] or 0.0) - low + 1) * cell_rows / max(extent[0], 1), 1.0)
     cell = F.coalesce(F.floor((F.col("doc_id").cast("double") - low) / width), F.lit(-1)).cast("long")
     docs = docs.withColumn("cell", cell)
-    # One row per range of ids: few next to the documents.
-    cells = docs.groupBy("cell").agg(F.min("doc_id").alias("first_id"))
-    in_order = Window.orderBy("cell")
-    everything = Window.partitionBy()
-    before = F.coalesce(F.lag("cell").over(in_order), F.max("cell").over(everything))
-    cells = settle(cells.select(F.col("cell").alias("own_cell"), "first_id", before.alias("cell_before")))
-
+    cells = _with_range_before(docs.groupBy("cell").agg(F.min("doc_id").alias("first_id")))
     rows = with_small(docs, cells, docs["cell"] == cells["own_cell"])
     guest = F.when(
         F.col("doc_id").eqNullSafe(F.col("first_id")),
@@ -179,6 +173,23 @@ def neighbours(docs: DataFrame, columns: list[Column], cell_rows: int = CELL_ROW
     return rows.filter(~F.col("guest")).drop("cell", "guest")
 
 
+def _with_range_before(cells: DataFrame, block: int = 10_000) -> DataFrame:
+    """own_cell, first_id and the range of ids before, for the first range the last one.
+
+    Ranges are put in order within blocks of them, and only blocks, a 10,000th of them, in
+    one place.
+    """
+    cells = settle(cells.withColumn("block", F.floor(F.col("cell") / block)))
+    blocks = cells.groupBy("block").agg(F.max("cell").alias("last_cell"))
+    in_order, everything = Window.orderBy("block"), Window.partitionBy()
+    last_before = F.coalesce(F.lag("last_cell").over(in_order), F.max("last_cell").over(everything))
+    blocks = settle(blocks.select(F.col("block").alias("own_block"), last_before.alias("last_before")))
+    inside = Window.partitionBy("block").orderBy("cell")
+    cells = with_small(cells.withColumn("before", F.lag("cell").over(inside)), blocks, F.col("block") == F.col("own_block"))
+    before = F.coalesce("before", "last_before").alias("cell_before")
+    return settle(cells.select(F.col("cell").alias("own_cell"), "first_id", before))
+
+
 def edited_text(text: Column, next_text: Column) -> Column:
     """The text with its last half replaced by as much of the next text's beginning."""
     half = F.floor(F.length(text) / 2).cast("int")
