@@ -380,7 +380,7 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
     whole = texts.select("k", F.md5(F.col("text").cast("binary")).alias("digest"), F.octet_length("text").cast("long").alias("e"))
     whole = whole.filter(F.col("e") >= LENGTH)
     firsts = whole.groupBy("digest", "e").agg(F.min("k").alias("first"))
-    copies = whole.join(firsts, ["digest", "e"]).filter("k <> first").select("k", F.lit(0).cast("long").alias("s"), "e").distinct()
+    copies = whole.join(firsts, ["digest", "e"]).filter("k <> first").select("k", F.lit(0).cast("long").alias("s"), "e")
 
     grams = texts.join(copies.select("k"), "k", "left_anti").select("k", "text").mapInArrow(_anchor_rows, "h long, k long, p long")
     grams = grams.repartitionByRange("h", "k").sortWithinPartitions("h")
