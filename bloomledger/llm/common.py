@@ -17,7 +17,7 @@ NULL_ID = -(2**63)
 SMALL_ROWS = 100_000
 
 # Text bytes that one step inside a task holds in work arrays.
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -34,7 +34,7 @@ EDIT_PERCENT = 5
 PROBE_BYTES = 120
 PROBE_STEP = 60
 BLOCK_BYTES = 1 << 20
-TEXT_STEP = 1 << 21  # bytes of one document that are searched at a time
+TEXT_STEP = 1 << 20  # bytes of one document that are searched at a time
 
 _FILTER_BITS = 22
 _MATCHES = "doc_id long, item_id string, n_probes long, edits long, first_start long, last_end long"
