@@ -45,7 +45,7 @@ FREQUENT_BYTES = 64  # longer words are never broadcast
 FOLDS, HELD_OUT = 7, 2
 END = b"\n"
 COUNT_BYTES = 1 << 24  # text whose words are counted together
-STEP_BYTES = 1 << 21  # text whose pairs are looked at together
+STEP_BYTES = 1 << 20  # text whose pairs are looked at together
 MEMO_BITS = 21  # pairs that a task remembers
 
 _MEMO_FACTOR = np.uint64(0x9E3779B97F4A7C15)
