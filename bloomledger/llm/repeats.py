@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from bloomledger.llm.common import CHUNK_BYTES, id_of, key_of, mix64, row_chunks, table, text_buffers
+from bloomledger.llm.common import CHUNK_BYTES, id_of, key_of, mix64, row_chunks, settle, table, text_buffers
 
 LENGTH = 100
 GRAM = 16
@@ -378,8 +378,10 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def repeated_spans(texts: DataFrame) -> DataFrame:
     """k, spans: byte ranges of each document (columns k, text) that are repeated, unmerged."""
     whole = texts.select("k", F.md5(F.col("text").cast("binary")).alias("digest"), F.octet_length("text").cast("long").alias("e"))
-    whole = whole.filter(F.col("e") >= LENGTH)
-    firsts = whole.groupBy("digest", "e").agg(F.min("k").alias("first"))
+    # Both sides are settled: adaptive execution can then split the rows of a hot text.
+    whole = settle(whole.filter(F.col("e") >= LENGTH))
+    firsts = whole.groupBy("digest", "e").agg(F.min("k").alias("first"), F.count("*").alias("n"))
+    firsts = settle(firsts.filter("n > 1").drop("n"))
     copies = whole.join(firsts, ["digest", "e"]).filter("k <> first").select("k", F.lit(0).cast("long").alias("s"), "e")
 
     grams = texts.join(copies.select("k"), "k", "left_anti").select("k", "text").mapInArrow(_anchor_rows, "h long, k long, p long")
