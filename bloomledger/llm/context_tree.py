@@ -8,13 +8,16 @@ weighting mixes the estimates of all depths: a context's weighted probability is
 estimate's and half the product of its extensions', and the share of its own part is the
 weight with which it predicts.
 
-Fitting: (context, byte) pairs are counted in each task and then by a shuffle; they are
-grouped by the last two bytes of the context, and every group folds its own part of the tree
-from the deepest contexts up.  Contexts of one byte and none are few and fold on the driver.
-Every training text and every count takes part.  The prediction of each context, mixed along
-its path, goes into a table of 2^SLOTS_BITS slots by hash: of contexts that fall into one
-slot the one with more counts stays, the others predict as their parent does.  Its size is
-fixed, so it is broadcast, and whatever is looked up the chances of a bit add up to one.
+Fitting: (context, byte) pairs of all texts are counted in each task and then by a shuffle,
+with their counts in training texts, which may be 0.  They are grouped by the last two bytes of
+the context, and every group folds its own part of the tree from the deepest contexts up.
+Contexts of one byte and none are few and fold on the driver.  Every training text and every
+count takes part, and no context is left out.  A context without counts has an even estimate
+and adds nothing to those above it, so pairs that are met in other texts only change nothing.
+
+Scoring: each group mixes the predictions of its contexts along their paths and gives every
+pair its log.  Documents meet the logs of the commonest pairs, `COMMON` at most, by broadcast
+and those of all others by a shuffle of (document, pair) rows.
 
 The base score needs every word's exact count: documents meet the counts of the most
 frequent words, `FREQUENT` at most, by broadcast and those of all others by a shuffle of
@@ -39,7 +42,8 @@ from pyspark.sql import functions as F
 from bloomledger.llm.common import id_of, key_of, mix64, settle, table
 
 DEPTH = 5  # at most 6, so that a pair fits into a long
-SLOTS_BITS = 23
+COMMON = 1 << 21  # pairs whose logs are broadcast
+SLOTS_BITS = 23  # of a `Model`
 FREQUENT = 1 << 17
 FREQUENT_BYTES = 64  # longer words are never broadcast
 FOLDS, HELD_OUT = 7, 2
@@ -51,6 +55,7 @@ MEMO_BITS = 21  # pairs that a task remembers
 _MEMO_FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _LOGIT_STEP = 1024.0
 _LN10 = np.log(10.0)
+_PAIR_KEY = b"  "  # opens the key of a pair, which meets no word and no document's own row
 
 
 # --- words -----------------------------------------------------------------------
@@ -227,29 +232,34 @@ class Level:
         return keys, add(self.zeros), add(self.ones), add(self.weighted), inverse
 
 
-def deepest_level(pairs: np.ndarray, counts: np.ndarray) -> Level:
-    """The deepest contexts of the eight bits of each pair."""
+def deepest_level(pairs: np.ndarray, counts: np.ndarray) -> tuple[Level, np.ndarray]:
+    """The deepest contexts of the eight bits of each pair, and their place: bits x pairs."""
     symbol, context = pairs & np.uint64(255), pairs >> np.uint64(8) << np.uint64(8)
-    keys, bits = [], []
-    for b in range(8):
-        keys.append(context | np.uint64(1 << b) | (symbol >> np.uint64(8 - b)))
-        bits.append((symbol >> np.uint64(7 - b)) & np.uint64(1))
-    found, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-    bit, times = np.concatenate(bits).astype(bool), np.tile(counts, 8).astype(np.float64)
-    ones = np.bincount(inverse, times * bit, len(found))
-    return Level(found, np.bincount(inverse, times, len(found)) - ones, ones, None)
-
-
-def fold(pairs: np.ndarray, counts: np.ndarray, least_depth: int) -> list[tuple[Level, np.ndarray | None]]:
-    """Levels from the deepest to `least_depth`, each with its place of a parent in the next."""
+    keys = np.concatenate([context | np.uint64(1 << b) | (symbol >> np.uint64(8 - b)) for b in range(8)])
+    found, inverse = np.unique(keys, return_inverse=True)
+    times = np.tile(counts, 8).astype(np.float64)
+    ones = np.bincount(inverse, times * bits_of(pairs).ravel(), len(found))
+    return Level(found, np.bincount(inverse, times, len(found)) - ones, ones, None), inverse.reshape(8, -1)
+
+
+def bits_of(pairs: np.ndarray) -> np.ndarray:
+    """The bits of each pair's byte from the highest on: bits x pairs."""
+    return np.stack([(pairs >> np.uint64(7 - b)) & np.uint64(1) for b in range(8)]).astype(bool)
+
+
+def fold(pairs: np.ndarray, counts: np.ndarray, least_depth: int) -> tuple[list[tuple[Level, np.ndarray | None]], np.ndarray]:
+    """Levels from the deepest to `least_depth`, each with its place of a parent in the next.
+
+    And the place of each pair's bits in the deepest.
+    """
     levels: list[tuple[Level, np.ndarray | None]] = []
-    level = deepest_level(pairs, counts)
+    level, places = deepest_level(pairs, counts)
     for _ in range(DEPTH - least_depth):
         keys, zeros, ones, below, inverse = level.parents()
         levels.append((level, inverse))
         level = Level(keys, zeros, ones, below)
     levels.append((level, None))
-    return levels
+    return levels, places
 
 
 def follow(level: Level, mixed: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -260,42 +270,26 @@ def follow(level: Level, mixed: np.ndarray, left: np.ndarray) -> tuple[np.ndarra
     return mixed, left, mixed + 0.5 * left
 
 
-def slot_of(keys: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Slot and check of contexts."""
-    h = mix64(keys * np.uint64(8) + np.uint64(depth) + np.uint64(0x51ED270B))
-    return (h >> np.uint64(64 - SLOTS_BITS)).astype(np.int64), (h & np.uint64(0xFFFF)).astype(np.int64)
-
-
-def _entries(level: Level, depth: int, chance: np.ndarray) -> pa.RecordBatch:
-    """Slots with counts, check and quantised logit packed so that the most counts win."""
-    slot, check = slot_of(level.keys, depth)
-    logit = np.log(chance) - np.log1p(-chance)
-    code = np.clip(np.rint(logit * _LOGIT_STEP) + 32768, 1, 65535).astype(np.int64)
-    total = np.minimum(level.zeros + level.ones, 2.0**30).astype(np.int64)
-    return pa.RecordBatch.from_arrays([pa.array(slot), pa.array((total << 32) | (check << 16) | code)], names=["slot", "entry"])
-
-
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs and counts of whole groups (equal last two bytes) that follow each other."""
-    pairs, counts = [], []
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Pairs, training counts and all counts of whole groups (equal last two bytes) that follow each other."""
+    kept: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     size = 0
     for batch in batches:
         if not batch.num_rows:
             continue
-        pairs.append(batch.column("pair").to_numpy().view(np.uint64))
-        counts.append(batch.column("n").to_numpy())
+        kept.append((batch.column("pair").to_numpy().view(np.uint64), batch.column("n").to_numpy(), batch.column("met").to_numpy()))
         size += batch.num_rows
         if size < 100_000:
             continue
-        p, c = np.concatenate(pairs), np.concatenate(counts)
-        group = _last_two(p)
+        parts = [np.concatenate(c) for c in zip(*kept)]
+        group = _last_two(parts[0])
         other = np.flatnonzero(group != group[-1])
         whole = int(other[-1]) + 1 if len(other) else 0
         if whole:
-            yield p[:whole], c[:whole]
-        pairs, counts, size = [p[whole:]], [c[whole:]], len(p) - whole
+            yield tuple(c[:whole] for c in parts)
+        kept, size = [tuple(c[whole:] for c in parts)], len(group) - whole
     if size:
-        yield np.concatenate(pairs), np.concatenate(counts)
+        yield tuple(np.concatenate(c) for c in zip(*kept))
 
 
 def _last_two(pairs: np.ndarray) -> np.ndarray:
@@ -304,16 +298,22 @@ def _last_two(pairs: np.ndarray) -> np.ndarray:
 
 def _fold_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts and weighted ln of contexts of two bytes, summed by their last byte."""
-    for pairs, counts in _groups(batches):
-        keys, zeros, ones, below, _ = fold(pairs, counts, 2)[-1][0].parents()
+    for pairs, counts, _ in _groups(batches):
+        keys, zeros, ones, below, _ = fold(pairs, counts, 2)[0][-1][0].parents()
         yield pa.RecordBatch.from_arrays(
             [pa.array(keys.view(np.int64)), pa.array(zeros), pa.array(ones), pa.array(below)],
             names=["key", "zeros", "ones", "below"],
         )
 
 
+def slot_of(keys: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Slot and check of contexts."""
+    h = mix64(keys * np.uint64(8) + np.uint64(depth) + np.uint64(0x51ED270B))
+    return (h >> np.uint64(64 - SLOTS_BITS)).astype(np.int64), (h & np.uint64(0xFFFF)).astype(np.int64)
+
+
 class Model:
-    """The table of predictions."""
+    """A table of predictions of its own by slots; scoring does not go through one, only tests do."""
 
     def __init__(self, codes: np.ndarray, checks: np.ndarray):
         self.codes, self.checks = codes, checks
@@ -339,10 +339,23 @@ class Model:
         return total / _LN10
 
 
+class CommonPairs:
+    """The logs of the commonest pairs; NaN for any other."""
+
+    def __init__(self, pairs: np.ndarray, logs: np.ndarray):
+        self.pairs, self.logs = pairs, logs  # in the order of pairs
+
+    def pair_logs(self, pairs: np.ndarray) -> np.ndarray:
+        if not len(self.pairs):
+            return np.full(len(pairs), np.nan)
+        at = np.minimum(np.searchsorted(self.pairs, pairs), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == pairs, self.logs[at], np.nan)
+
+
 class PairLogs:
     """Looks up pairs under a model; remembers the last ones met."""
 
-    def __init__(self, model: Model):
+    def __init__(self, model: Model | CommonPairs):
         self._model = model
         self._keys = np.zeros(1 << MEMO_BITS, np.uint64)  # a pair + 1
         self._logs = np.zeros(1 << MEMO_BITS)
@@ -366,74 +379,134 @@ class PairLogs:
 
     def lines(self, line: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """log10 of the probability of each of the joined lines."""
+        return self.parts(line, starts)[0]
+
+    def parts(self, line: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """log10 of what the model knows of each line; line, pair and times of what it does not."""
         logs = np.zeros(len(line))
+        owners, others = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
         for at, pairs, coded in _coded_steps(line, starts):
-            logs[at : at + len(pairs)] = np.where(coded, self(pairs), 0.0)
-        return np.add.reduceat(logs, starts)
+            found = np.where(coded, self(pairs), 0.0)
+            unknown = np.flatnonzero(np.isnan(found))
+            found[unknown] = 0.0
+            logs[at : at + len(pairs)] = found
+            owners.append(np.searchsorted(starts, at + unknown, side="right") - 1)
+            others.append(pairs[unknown])
+        owner, pair = np.concatenate(owners), np.concatenate(others)
+        order = np.lexsort((pair, owner))
+        owner, pair = owner[order], pair[order]
+        first = np.ones(len(pair), bool)
+        first[1:] = (owner[1:] != owner[:-1]) | (pair[1:] != pair[:-1])
+        first = np.flatnonzero(first)
+        times = np.diff(first, append=len(pair))
+        return np.add.reduceat(logs, starts), owner[first], pair[first], times
+
+
+def pair_keys(pairs: np.ndarray) -> pa.Array:
+    """Pairs as keys of the join that words take part in."""
+    width = len(_PAIR_KEY) + 8
+    data = np.empty((len(pairs), width), np.uint8)
+    data[:, : len(_PAIR_KEY)] = np.frombuffer(_PAIR_KEY, np.uint8)
+    data[:, len(_PAIR_KEY) :] = pairs.astype(">u8").view(np.uint8).reshape(-1, 8)
+    offsets = np.arange(0, (len(pairs) + 1) * width, width, dtype=np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(pairs), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
+def pair_counts(texts: DataFrame) -> DataFrame:
+    return texts.select("text").mapInArrow(_count_pairs, "pair long, n long")
+
+
+class Tree:
+    """The fitted tree: pairs with their training counts, and the paths of all last bytes."""
+
+    def __init__(self, pairs: DataFrame):
+        """`pairs`: pair, n (in training texts) and met (in all texts), settled; a row a pair."""
+        self._pairs = pairs
+        one_byte = _grouped(pairs).mapInArrow(_fold_groups, "key long, zeros double, ones double, below double")
+        one_byte = one_byte.groupBy("key").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("below").alias("below"))
+        top = one_byte.toArrow().sort_by("key")  # 256 last bytes x 255 bit contexts at most
+        columns = {c: top[c].to_numpy() for c in top.column_names}
+        level_one = Level(columns["key"].view(np.uint64), columns["zeros"], columns["ones"], columns["below"])
+        keys, zeros, ones, below, inverse = level_one.parents()
+        level_none = Level(keys, zeros, ones, below)
+        mixed, left, _ = follow(level_none, np.zeros(len(keys)), np.ones(len(keys)))
+        self._top = (level_one.keys, *follow(level_one, mixed[inverse], left[inverse])[:2])
+
+    def logs(self) -> DataFrame:
+        """pair, met and log10 of the chance of the pair's byte behind its context, for every pair."""
+        shared = self._pairs.sparkSession.sparkContext.broadcast(self._top)
+
+        def mix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            keys_one, mixed_one, left_one = shared.value
+            for pairs, counts, met in _groups(batches):
+                levels, places = fold(pairs, counts, 2)
+                keys, _, _, _, place = levels[-1][0].parents()
+                at = np.searchsorted(keys_one, keys)
+                mixed, left = mixed_one[at][place], left_one[at][place]
+                for level, parent in reversed(levels):
+                    if parent is not None:
+                        mixed, left = mixed[parent], left[parent]
+                    mixed, left, chance = follow(level, mixed, left)
+                logs = np.where(bits_of(pairs), np.log10(chance)[places], np.log10(1.0 - chance)[places]).sum(axis=0)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(pairs.view(np.int64)), pa.array(met), pa.array(logs)], names=["pair", "met", "log"]
+                )
+
+        return _grouped(self._pairs).mapInArrow(mix, "pair long, met long, log double")
+
+    def pair_logs(self, pairs: np.ndarray) -> np.ndarray:
+        """The logs of a few pairs, which need not have been counted."""
+        wanted = np.unique(pairs)
+        table = pa.table({"pair": wanted.view(np.int64)})
+        few = self._pairs.sparkSession.createDataFrame(table)
+        counted = self._pairs.unionByName(few.select("pair", F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("met")))
+        found = Tree(_summed(counted)).logs().join(F.broadcast(few), "pair").toArrow().sort_by("pair")
+        return found["log"].to_numpy()[np.searchsorted(wanted, pairs)]
 
 
-def learn(texts: DataFrame) -> Model:
-    """The table of predictions from training texts (column text)."""
-    counted = texts.select("text").mapInArrow(_count_pairs, "pair long, n long")
-    pairs = settle(counted.groupBy("pair").agg(F.sum("n").alias("n")))
+def _grouped(pairs: DataFrame) -> DataFrame:
     last_two = F.shiftright("pair", 8 * (DEPTH - 1))
-    grouped = pairs.repartition(last_two).sortWithinPartitions("pair")
-
-    one_byte = grouped.mapInArrow(_fold_groups, "key long, zeros double, ones double, below double")
-    one_byte = one_byte.groupBy("key").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("below").alias("below"))
-    top = one_byte.toArrow().sort_by("key")  # 256 last bytes x 255 bit contexts at most
-    columns = {c: top[c].to_numpy() for c in top.column_names}
-    level_one = Level(columns["key"].view(np.uint64), columns["zeros"], columns["ones"], columns["below"])
-    keys, zeros, ones, below, inverse = level_one.parents()
-    level_none = Level(keys, zeros, ones, below)
-    mixed, left, chance_none = follow(level_none, np.zeros(len(keys)), np.ones(len(keys)))
-    mixed, left, chance_one = follow(level_one, mixed[inverse], left[inverse])
-
-    shared = texts.sparkSession.sparkContext.broadcast((level_one.keys, mixed, left))
-
-    def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys_one, mixed_one, left_one = shared.value
-        for group, counts in _groups(batches):
-            levels = fold(group, counts, 2)
-            keys, _, _, _, place = levels[-1][0].parents()
-            at = np.searchsorted(keys_one, keys)
-            mixed, left = mixed_one[at][place], left_one[at][place]
-            for depth, (level, parent) in zip(range(2, DEPTH + 1), reversed(levels)):
-                if parent is not None:
-                    mixed, left = mixed[parent], left[parent]
-                mixed, left, chance = follow(level, mixed, left)
-                yield _entries(level, depth, chance)
-
-    entries = grouped.mapInArrow(enter, "slot long, entry long").groupBy("slot").agg(F.max("entry").alias("entry"))
-    code = F.col("entry").bitwiseAND(F.lit(0xFFFFFFFF)) - F.lit(1 << 31)
-    found = entries.select(F.col("slot").cast("int"), code.cast("int").alias("entry")).toArrow()  # a row a slot at most
-    codes = np.zeros(1 << SLOTS_BITS, np.uint16)
-    checks = np.zeros(1 << SLOTS_BITS, np.uint16)
-    few = [_entries(level_none, 0, chance_none), _entries(level_one, 1, chance_one)]
-    for batch in found.to_batches():
-        slot, entry = batch.column("slot").to_numpy(), batch.column("entry").to_numpy().astype(np.int64) + (1 << 31)
-        codes[slot], checks[slot] = entry & 0xFFFF, entry >> 16
-    for batch in few:
-        slot, entry = batch.column("slot").to_numpy(), batch.column("entry").to_numpy()
-        codes[slot], checks[slot] = entry & 0xFFFF, (entry >> 16) & 0xFFFF
-    return Model(codes, checks)
+    return pairs.repartition(last_two).sortWithinPartitions("pair")
+
+
+def _summed(counted: DataFrame) -> DataFrame:
+    return settle(counted.groupBy("pair").agg(F.sum("n").alias("n"), F.sum("met").alias("met")))
+
+
+def learn(texts: DataFrame, others: DataFrame | None = None) -> Tree:
+    """The tree of training texts (column text); it gives the pairs of the other texts their logs as well."""
+    counted = pair_counts(texts).withColumn("met", F.col("n"))
+    if others is not None:
+        counted = counted.unionByName(pair_counts(others).select("pair", F.lit(0).cast("long").alias("n"), F.col("n").alias("met")))
+    return Tree(_summed(counted))
 
 
 # --- documents ----------------------------------------------------------------------
 
 
-def _frequent_words(vocabulary: DataFrame, most: int) -> DataFrame:
-    """All words above a count that at most `most` words reach, from a histogram of counts."""
-    short = vocabulary.filter((F.col("c") > 0) & (F.octet_length("word") <= FREQUENT_BYTES))
-    step = F.floor(F.log2(F.col("c")) * 8)
-    histogram = short.groupBy(step.alias("step")).agg(F.count("*").alias("n"))  # 500 rows at most
+def _most_frequent(counted: DataFrame, count: str, most: int) -> Column:
+    """Whether a row is above a count that at most `most` rows reach, from a histogram of counts."""
+    step = F.floor(F.log2(F.col(count)) * 8)
+    histogram = counted.groupBy(step.alias("step")).agg(F.count("*").alias("n"))  # 500 rows at most
     total, least = 0, None
     for row in sorted(histogram.collect(), reverse=True):
         total += row["n"]
         if total > most:
             break
         least = row["step"]
-    return short.filter(F.lit(False) if least is None else step >= F.lit(least))
+    return F.lit(False) if least is None else step >= F.lit(least)
+
+
+def _frequent_words(vocabulary: DataFrame, most: int) -> DataFrame:
+    """All words above a count that at most `most` words reach."""
+    short = vocabulary.filter((F.col("c") > 0) & (F.octet_length("word") <= FREQUENT_BYTES))
+    return short.filter(_most_frequent(short, "c", most))
+
+
+def _keyed_logs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        keys = pair_keys(batch.column("pair").to_numpy().view(np.uint64))
+        yield pa.RecordBatch.from_arrays([keys, batch.column("log")], names=["word", "log"])
 
 
 def text_scores(docs: DataFrame) -> DataFrame:
@@ -447,8 +520,10 @@ def text_scores(docs: DataFrame) -> DataFrame:
     counted = rows.select("train", "text").mapInArrow(_count_words, "word binary, c long")
     vocabulary = settle(counted.groupBy("word").agg(F.sum("c").alias("c")))
     n_train, n_words = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0)).first()
-    model = learn(rows.filter("train"))
-    shared = spark.sparkContext.broadcast((model.codes, model.checks))
+    logs_of_pairs = settle(learn(rows.filter("train"), rows.filter("not train")).logs())
+    is_common = _most_frequent(logs_of_pairs, "met", COMMON)
+    common = logs_of_pairs.filter(is_common).select("pair", "log").toArrow().sort_by("pair")
+    shared = spark.sparkContext.broadcast((common["pair"].to_numpy().view(np.uint64), common["log"].to_numpy()))
     floor = float(n_train + n_words + 1)
     frequent = _frequent_words(vocabulary, FREQUENT).toArrow()
     known = spark.sparkContext.broadcast(
@@ -456,16 +531,17 @@ def text_scores(docs: DataFrame) -> DataFrame:
     )
 
     def score_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A row for each document with what its frequent words give, and one for each other word."""
+        """A row for each document with what its frequent words and common pairs give, one for each other word, one for each other pair."""
         place, count = known.value
         log_base = np.log10((count + 1) / floor)
-        logs = PairLogs(Model(*shared.value))
+        logs = PairLogs(CommonPairs(*shared.value))
         for batch in batches:
             keys = batch.column("k").to_pylist()
             texts = dict(_text_rows(batch))
             for rows, line, starts in _lines(iter(texts.items())):
                 word, key, times, sums = [], [], [], []
-                for row, log_p in zip(rows, logs.lines(line, starts).tolist()):
+                log_ps, owner, pairs, n_pairs = logs.parts(line, starts)
+                for row, log_p in zip(rows, log_ps.tolist()):
                     found = Counter(words_of(texts[row]))
                     found[END] += 1
                     at, n = [], []
@@ -487,17 +563,24 @@ def text_scores(docs: DataFrame) -> DataFrame:
                     total = sum(found.values())
                     sums.append((total, int(n[count[at] > 0].sum()), float(n @ log_base[at]), log_p))
                 yield _scored(word, key, times, sums)
+                if len(pairs):
+                    yield _other_pairs(np.array([keys[row] for row in rows], np.int64)[owner], pairs, n_pairs)
 
     partial = rows.select("k", "text").mapInArrow(
         score_rows, "word binary, k long, times long, n_tokens long, n_known long, base double, score double"
     )
-    met = partial.join(vocabulary, "word", "left")
+    # A key is a word's or a pair's; both are looked up by one shuffle.
+    others = logs_of_pairs.filter(~is_common).mapInArrow(_keyed_logs, "word binary, log double")
+    known_rows = vocabulary.select("word", "c", F.lit(None).cast("double").alias("log")).unionByName(
+        others.select("word", F.lit(None).cast("long").alias("c"), "log")
+    )
+    met = partial.join(known_rows, "word", "left")
     word_base = F.col("times") * F.log10((F.col("c") + 1) / F.lit(floor))
     met = met.groupBy("k").agg(
         F.sum("n_tokens").alias("n_tokens"),
         F.sum(F.coalesce("n_known", F.when(F.col("c") > 0, F.col("times")), F.lit(0))).alias("n_known"),
         F.sum(F.coalesce("base", word_base)).alias("base_score"),
-        F.sum("score").alias("score"),
+        F.sum(F.coalesce("score", F.col("times") * F.col("log"))).alias("score"),
     )
     return met.select(
         "k",
@@ -526,6 +609,14 @@ def _scored(word: list, key: list, times: list, sums: list) -> pa.RecordBatch:
     )
 
 
+def _other_pairs(key: np.ndarray, pairs: np.ndarray, times: np.ndarray) -> pa.RecordBatch:
+    none = [pa.nulls(len(pairs), kind) for kind in (pa.int64(), pa.int64(), pa.float64(), pa.float64())]
+    return pa.RecordBatch.from_arrays(
+        [pair_keys(pairs), pa.array(key), pa.array(times), *none],
+        names=["word", "k", "times", "n_tokens", "n_known", "base", "score"],
+    )
+
+
 def op10_context_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = text_scores(table(spark, sf_dir, "documents"))
     return scored.select(

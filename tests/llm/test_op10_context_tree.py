@@ -90,6 +90,18 @@ def test_scores_equal_the_definition(spark, few, monkeypatch):
     assert len(exact) >= len(want) - 3
 
 
+@pytest.mark.parametrize("common", [1 << 21, 300, 0])
+def test_every_context_counts(spark, few, monkeypatch, common):
+    """Pairs by broadcast, most by the shuffle, all by the shuffle; no table has to hold the contexts."""
+    monkeypatch.setattr(ct, "SLOTS_BITS", 12)  # of no effect
+    monkeypatch.setattr(ct, "COMMON", common, raising=False)
+    docs = {r.doc_id: r.text for r in few.collect()}
+    lines = {d: ct.coded_line([w.encode() for w in tokens(t)[:-1]]) for d, t in docs.items()}
+    tree = Tree([line for d, line in lines.items() if fold(d) != 2], ct.DEPTH)
+    got = {r.k: r.score for r in ct.text_scores(few).collect()}
+    assert got == pytest.approx({d: tree.log10(line) for d, line in lines.items()}, rel=1e-9)
+
+
 def test_base_columns_equal_brute_force(spark, sf_dir, monkeypatch):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     counts = Counter()
