@@ -6,13 +6,22 @@ last return exactly those columns, as their types were.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from bloomledger.llm import decontamination, language_id, mixing, near_dedup, sharding
 from bloomledger.llm.common import key_of, settle, table, with_small
 
-_KEY, _COPIES = "__key", "__copies"
+_KEY, _COPIES, _ROW, _DIGEST = "__key", "__copies", "__row", "__digest"
+
+
+def _digest() -> Column:
+    return F.coalesce(F.md5(F.col("text").cast("string").cast("binary")), F.lit(""))
+
+
+def _row_of() -> Column:
+    """Identity of a document as a long: rows with one id and one text are the same one."""
+    return F.xxhash64(key_of("doc_id"), _digest())
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,19 +30,25 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, the one with the smallest id."""
-    groups = near_dedup.near_groups(docs)
-    kept = groups.filter("k = component").select(F.col("k").alias(_KEY)).distinct()
-    found = docs.withColumn(_KEY, key_of("doc_id")).join(kept, _KEY)
-    # Rows with one id are one document.
-    return found.dropDuplicates([_KEY]).select(*docs.columns)
+    """One document of each group of near copies, the one with the smallest id.
+
+    Rows with one id and one text are one document; different texts are judged on their own.
+    """
+    tagged = docs.select(_row_of().alias("doc_id"), "text", key_of("doc_id").alias(_KEY), _digest().alias(_DIGEST))
+    groups = near_dedup.near_groups(tagged.select("doc_id", "text")).select(F.col("k").alias(_ROW), "component").distinct()
+    rows = tagged.select(F.col("doc_id").alias(_ROW), _KEY, _DIGEST).distinct().join(groups, _ROW)
+    kept = rows.groupBy("component").agg(F.min(F.struct(_KEY, _DIGEST, _ROW))[_ROW].alias(_ROW)).select(_ROW)
+    found = docs.withColumns({_ROW: _row_of(), _KEY: key_of("doc_id"), _DIGEST: _digest()}).join(kept, _ROW)
+    return found.dropDuplicates([_ROW, _KEY, _DIGEST]).select(*docs.columns)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no passage of the benchmark occurs."""
-    leaks = decontamination.contamination(docs, table(spark, sf_dir, "benchmark"))
-    leaks = settle(leaks.select(key_of("doc_id").alias(_KEY)).distinct())
-    kept = with_small(docs, leaks, key_of(docs["doc_id"]) == leaks[_KEY], "left_anti")
+    tagged = docs.withColumn(_ROW, _row_of())
+    rows = tagged.select(F.col(_ROW).alias("doc_id"), "text")
+    leaks = decontamination.contamination(rows, table(spark, sf_dir, "benchmark"))
+    leaks = settle(leaks.select(F.col("doc_id").alias(_KEY)).distinct())
+    kept = with_small(tagged, leaks, tagged[_ROW] == leaks[_KEY], "left_anti")
     return kept.select(*docs.columns)
 
 

@@ -58,6 +58,19 @@ def test_one_document_of_each_group_stays(spark, sf_dir):
     assert sorted(r.doc_id for r in kept) == [1, 3, 4, 5]
 
 
+def test_rows_of_one_id_are_judged_by_their_own_text(spark, sf_dir):
+    leak = spark.read.parquet(f"{sf_dir}/benchmark.parquet").first().text
+    texts = ["first clean text of some seven words", "another clean one with quite other words", "FIRST clean text of some seven words"]
+    rows = [(i, t) for i in (None, 3) for t in (f"{i} {texts[0]}", f"{i} {texts[1]}", f"{i} {texts[2]}", f"{i} {texts[1]}", f"{i} before {leak} {i} behind")]
+    rows += [(4, f"None {texts[1]}"), (None, None), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    lower = lambda out: sorted((r.doc_id or 0, (r.text or "").lower()) for r in out.collect())
+    clean = [(i or 0, f"{i} {t}".lower()) for i in (None, 3) for t in texts[:2]] + [(0, ""), (0, "")]
+    leaks = [(r[0] or 0, r[1].lower()) for r in rows if leak in (r[1] or "")]  # their similarity is below the threshold
+    assert lower(stages.drop_near_copies(spark, docs, sf_dir)) == sorted(clean + leaks)
+    assert lower(stages.drop_leaks(spark, docs, sf_dir)) == sorted((r[0] or 0, (r[1] or "").lower()) for r in rows if leak not in (r[1] or ""))
+
+
 def test_mix_repeats_documents(spark, sf_dir):
     rows = [(i, f"w{i} " * 10, "a" if i < 9 else "b") for i in range(90)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
