@@ -10,6 +10,7 @@ from bloomledger.llm import (
     context_tree,
     decontamination,
     language_id,
+    lines,
     mixing,
     near_dedup,
     pii,
@@ -30,10 +31,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_qgram_decontamination": decontamination.op8_qgram_decontamination,
     "op9_winnowing": winnowing.op9_winnowing,
     "op10_context_tree_scores": context_tree.op10_context_tree_scores,
+    "op13_line_dedup": lines.op13_line_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op2_pareto_mix": mixing.OP2_SQL,
     "op5_minhash_near_dedup": near_dedup.OP5_SQL,
     "op6_suffix_dedup": repeats.OP6_SQL,
+    "op13_line_dedup": lines.OP13_SQL,
 }
