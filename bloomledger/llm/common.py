@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -55,6 +56,13 @@ def settle(frame: DataFrame) -> DataFrame:
     return frame.checkpoint(eager=True)
 
 
+def stored(frame: DataFrame) -> DataFrame:
+    """The frame's rows from a Parquet table in the shared folder; smaller than a checkpoint."""
+    path = f"{shared_folder(frame.sparkSession)}/table-{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 def with_small(big: DataFrame, small: DataFrame, on: Column, how: str = "inner") -> DataFrame:
     """A join with a table that is expected to be small.
 
@@ -65,6 +73,19 @@ def with_small(big: DataFrame, small: DataFrame, on: Column, how: str = "inner")
     return big.join(F.broadcast(small) if few else small, on, how)
 
 
+def most_frequent(counted: DataFrame, count: str, most: int) -> Column:
+    """Whether a row is above a count that at most `most` rows reach, from a histogram of counts."""
+    step = F.floor(F.log2(F.col(count)) * 8)
+    histogram = counted.groupBy(step.alias("step")).agg(F.count("*").alias("n"))  # 500 rows at most
+    total, least = 0, None
+    for row in sorted(histogram.collect(), reverse=True):
+        total += row["n"]
+        if total > most:
+            break
+        least = row["step"]
+    return F.lit(False) if least is None else step >= F.lit(least)
+
+
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string column and the n + 1 offsets of its rows; null is empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -484,23 +484,10 @@ def learn(texts: DataFrame, others: DataFrame | None = None) -> Tree:
 # --- documents ----------------------------------------------------------------------
 
 
-def _most_frequent(counted: DataFrame, count: str, most: int) -> Column:
-    """Whether a row is above a count that at most `most` rows reach, from a histogram of counts."""
-    step = F.floor(F.log2(F.col(count)) * 8)
-    histogram = counted.groupBy(step.alias("step")).agg(F.count("*").alias("n"))  # 500 rows at most
-    total, least = 0, None
-    for row in sorted(histogram.collect(), reverse=True):
-        total += row["n"]
-        if total > most:
-            break
-        least = row["step"]
-    return F.lit(False) if least is None else step >= F.lit(least)
-
-
 def _frequent_words(vocabulary: DataFrame, most: int) -> DataFrame:
     """All words above a count that at most `most` words reach."""
     short = vocabulary.filter((F.col("c") > 0) & (F.octet_length("word") <= FREQUENT_BYTES))
-    return short.filter(_most_frequent(short, "c", most))
+    return short.filter(most_frequent(short, "c", most))
 
 
 def _keyed_logs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -521,7 +508,7 @@ def text_scores(docs: DataFrame) -> DataFrame:
     vocabulary = settle(counted.groupBy("word").agg(F.sum("c").alias("c")))
     n_train, n_words = vocabulary.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0)).first()
     logs_of_pairs = settle(learn(rows.filter("train"), rows.filter("not train")).logs())
-    is_common = _most_frequent(logs_of_pairs, "met", COMMON)
+    is_common = most_frequent(logs_of_pairs, "met", COMMON)
     common = logs_of_pairs.filter(is_common).select("pair", "log").toArrow().sort_by("pair")
     shared = spark.sparkContext.broadcast((common["pair"].to_numpy().view(np.uint64), common["log"].to_numpy()))
     floor = float(n_train + n_words + 1)

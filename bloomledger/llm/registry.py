@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from bloomledger.llm import (
+    alignment,
+    collocations,
     context_tree,
     decontamination,
     language_id,
@@ -31,6 +33,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_qgram_decontamination": decontamination.op8_qgram_decontamination,
     "op9_winnowing": winnowing.op9_winnowing,
     "op10_context_tree_scores": context_tree.op10_context_tree_scores,
+    "op11_token_alignment": alignment.op11_token_alignment,
+    "op12_collocations": collocations.op12_collocations,
     "op13_line_dedup": lines.op13_line_dedup,
 }
 
