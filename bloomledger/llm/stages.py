@@ -43,10 +43,10 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no passage of the benchmark occurs."""
+    """Documents in which no passage of the benchmark occurs; short items do not count."""
     tagged = docs.withColumn(_ROW, _row_of())
     rows = tagged.select(F.col(_ROW).alias("doc_id"), "text")
-    leaks = decontamination.contamination(rows, table(spark, sf_dir, "benchmark"))
+    leaks = decontamination.contamination(rows, decontamination.long_items(table(spark, sf_dir, "benchmark")))
     leaks = settle(leaks.select(F.col("doc_id").alias(_KEY)).distinct())
     kept = with_small(tagged, leaks, tagged[_ROW] == leaks[_KEY], "left_anti")
     return kept.select(*docs.columns)
