@@ -412,10 +412,13 @@ WITH pieces AS (
   SELECT lang, phrase, m, count(*) AS f FROM grams GROUP BY ALL
 ), totals AS (
   SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counted WHERE m = 1 GROUP BY lang
+), frequent AS (
+  SELECT *, split_part(phrase, ' ', 1) AS p1, split_part(phrase, ' ', 2) AS p2, split_part(phrase, ' ', 3) AS p3
+  FROM counted WHERE m > 1 AND f >= 10
 ), cuts AS (
-  SELECT lang, phrase, m, f, k, list_aggregate(string_split(phrase, ' ')[1:k], 'string_agg', ' ') AS head,
-    list_aggregate(string_split(phrase, ' ')[k + 1:], 'string_agg', ' ') AS tail
-  FROM counted, unnest(range(1, m)) AS t(k) WHERE m > 1 AND f >= 10
+  SELECT lang, phrase, m, f, 1 AS k, p1 AS head, CASE m WHEN 2 THEN p2 ELSE p2 || ' ' || p3 END AS tail FROM frequent
+  UNION ALL
+  SELECT lang, phrase, m, f, 2, p1 || ' ' || p2, p3 FROM frequent WHERE m = 3
 ), scored AS (
   SELECT c.lang, c.phrase, c.m, c.f AS a, x.f AS l, y.f AS r, k,
     CAST((1000000::HUGEINT * c.f * c.f) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
@@ -424,9 +427,9 @@ WITH pieces AS (
   SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
 ), inner_pairs AS (
   SELECT lang, phrase, max(a) AS longest FROM (
-    SELECT lang, array_to_string(string_split(phrase, ' ')[1:2], ' ') AS phrase, a FROM candidates WHERE m = 3
+    SELECT lang, split_part(phrase, ' ', 1) || ' ' || split_part(phrase, ' ', 2) AS phrase, a FROM candidates WHERE m = 3
     UNION ALL
-    SELECT lang, array_to_string(string_split(phrase, ' ')[2:3], ' '), a FROM candidates WHERE m = 3
+    SELECT lang, split_part(phrase, ' ', 2) || ' ' || split_part(phrase, ' ', 3), a FROM candidates WHERE m = 3
   ) GROUP BY ALL
 ), kept AS (
   SELECT c.* FROM candidates c LEFT JOIN inner_pairs i ON i.lang = c.lang AND i.phrase = c.phrase

@@ -42,5 +42,6 @@ ORACLE_SQL: dict[str, str] = {
     "op2_pareto_mix": mixing.OP2_SQL,
     "op5_minhash_near_dedup": near_dedup.OP5_SQL,
     "op6_suffix_dedup": repeats.OP6_SQL,
+    "op12_collocations": collocations.OP12_SQL,
     "op13_line_dedup": lines.OP13_SQL,
 }

@@ -1,5 +1,6 @@
 import hashlib
 import random
+from bisect import bisect_left
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -60,10 +61,11 @@ def brute(rows):
             continue
         a, b = both
         ends = sorted({e for *_, e in a} & {e for *_, e in b})
-        groups, before = [], 0
-        for end in ends:
-            groups.append("|".join(",".join(str(i) for i, s, e in side if before < e <= end) for side in both))
-            before = end
+        members = [[[] for _ in ends] for _ in both]
+        for side, lists in zip(both, members):
+            for i, _, e in side:
+                lists[bisect_left(ends, e)].append(str(i))
+        groups = [f"{','.join(x)}|{','.join(y)}" for x, y in zip(*members)]
         found = links[text]
         best = sum(count[x] == highest[x[0]] for x in found)
         sha = hashlib.sha256(";".join(groups).encode()).hexdigest()
