@@ -38,14 +38,16 @@ def id_of(column: str | Column) -> Column:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder for checkpoints that all executors share.
+    """The folder for checkpoints that all executors share, as `spark.checkpoint.dir` names it.
 
-    The session names it in `spark.checkpoint.dir`; only a session without that setting
-    (a local test) gets a folder of its own.
+    A session without that setting gets a folder of its own if it is a local one (a test);
+    on a cluster a folder of the driver's machine would be lost on executors, so that is an error.
     """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not (context.master == "local" or context.master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoints-"))
     return context.getCheckpointDir()
 
@@ -63,6 +65,47 @@ def stored(frame: DataFrame) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def digest_of(text: str | Column = "text") -> Column:
+    """What tells the texts of rows with one id apart; null counts as empty."""
+    text = F.col(text) if isinstance(text, str) else text
+    return F.md5(F.coalesce(text.cast("string"), F.lit("")).cast("binary"))
+
+
+class RowKeys:
+    """Texts by a long key of their own for each id and text; keys are in the order of the ids.
+
+    Where every id is there once, ids are the keys (a null id is the smallest).  Else the
+    distinct pairs of id and digest of the text are numbered in their order, over ranges, and
+    texts are joined with their numbers once.  Rows with one id and one text share a key.
+    """
+
+    def __init__(self, docs: DataFrame):
+        rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+        met = rows.groupBy(key_of("doc_id").alias("k")).agg(F.count("*").alias("n"))
+        self._ids = None
+        if not met.filter("n > 1").limit(1).count():
+            self.texts = rows.select(key_of("doc_id").alias("k"), "text")
+            return
+        named = rows.withColumn("digest", digest_of("text"))
+        own = named.select("doc_id", "digest").distinct().repartitionByRange("doc_id", "digest")
+        own = own.sortWithinPartitions("doc_id", "digest").withColumn("k", F.monotonically_increasing_id())
+        self._ids = settle(own)
+        ids = self._ids.withColumnsRenamed({"doc_id": "own", "digest": "own_digest"})
+        same = named["doc_id"].eqNullSafe(ids["own"]) & (named["digest"] == ids["own_digest"])
+        self.texts = stored(named.join(ids, same).select("k", "text"))
+
+    def one_each(self) -> DataFrame:
+        """k, text: one row of each key."""
+        return self.texts if self._ids is None else stored(self.texts.dropDuplicates(["k"]))
+
+    def with_id(self, frame: DataFrame, key: str, name: str = "doc_id") -> DataFrame:
+        """The frame with the id that a key stands for."""
+        if self._ids is None:
+            return frame.withColumn(name, id_of(key))
+        ids = self._ids.select(F.col("k").alias("__key"), F.col("doc_id").alias(name))
+        return frame.join(ids, frame[key] == ids["__key"], "left").drop("__key")
+
+
 def with_small(big: DataFrame, small: DataFrame, on: Column, how: str = "inner") -> DataFrame:
     """A join with a table that is expected to be small.
 

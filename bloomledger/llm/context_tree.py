@@ -11,7 +11,8 @@ weight with which it predicts.
 Fitting: (context, byte) pairs of all texts are counted in each task and then by a shuffle,
 with their counts in training texts, which may be 0.  They are grouped by the last two bytes of
 the context, and every group folds its own part of the tree from the deepest contexts up.
-Contexts of one byte and none are few and fold on the driver.  Every training text and every
+A group with more than one of `HOT_SHARE` pairs is split by the third byte; its contexts of two
+bytes, like all of one byte and none, are few and fold on the driver.  Every training text and every
 count takes part, and no context is left out.  A context without counts has an even estimate
 and adds nothing to those above it, so pairs that are met in other texts only change nothing.
 
@@ -24,8 +25,8 @@ frequent words, `FREQUENT` at most, by broadcast and those of all others by a sh
 (document, word) pairs.
 
 Null text is empty: the end is its only token.  Null doc_id: neither learned from nor held
-out.  Rows with equal doc_id are one document: their tokens, an end for each row, add up.
-Without training texts every estimate is even and base_score takes N = V = 0.  An empty table
+out.  Every row is a document of its own; scores belong to a text and are looked up by its
+digest, so equal texts have equal scores.  Without training texts every estimate is even and base_score takes N = V = 0.  An empty table
 gives an empty result.  Other columns are not read.
 """
 
@@ -39,11 +40,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bloomledger.llm.common import id_of, key_of, mix64, settle, table
+from bloomledger.llm.common import digest_of, most_frequent, settle, table
 
 DEPTH = 5  # at most 6, so that a pair fits into a long
 COMMON = 1 << 21  # pairs whose logs are broadcast
-SLOTS_BITS = 23  # of a `Model`
+HOT_SHARE = 256  # a group with more than one of so many pairs is split
 FREQUENT = 1 << 17
 FREQUENT_BYTES = 64  # longer words are never broadcast
 FOLDS, HELD_OUT = 7, 2
@@ -53,8 +54,6 @@ STEP_BYTES = 1 << 20  # text whose pairs are looked at together
 MEMO_BITS = 21  # pairs that a task remembers
 
 _MEMO_FACTOR = np.uint64(0x9E3779B97F4A7C15)
-_LOGIT_STEP = 1024.0
-_LN10 = np.log(10.0)
 _PAIR_KEY = b"  "  # opens the key of a pair, which meets no word and no document's own row
 
 
@@ -270,10 +269,29 @@ def follow(level: Level, mixed: np.ndarray, left: np.ndarray) -> tuple[np.ndarra
     return mixed, left, mixed + 0.5 * left
 
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Pairs, training counts and all counts of whole groups (equal last two bytes) that follow each other."""
+def _last_two(pairs: np.ndarray) -> np.ndarray:
+    return pairs >> np.uint64(8 * (DEPTH - 1))
+
+
+def _group_of(pairs: np.ndarray, hot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The group of each pair, and whether it is part of a hot one."""
+    two = _last_two(pairs)
+    is_hot = np.isin(two, hot)
+    three = (pairs >> np.uint64(8 * (DEPTH - 2))) | np.uint64(1 << 32)
+    return np.where(is_hot, three, two), is_hot
+
+
+def _groups(batches: Iterator[pa.RecordBatch], hot: np.ndarray) -> Iterator[tuple[bool, np.ndarray, np.ndarray, np.ndarray]]:
+    """Hot or not, pairs, training counts and all counts of whole groups that follow each other."""
     kept: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     size = 0
+
+    def parted(parts: tuple, is_hot: np.ndarray) -> Iterator[tuple]:
+        for kind in (False, True):
+            own = is_hot == kind
+            if own.any():
+                yield kind, *(c[own] for c in parts)
+
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -282,61 +300,32 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.
         if size < 100_000:
             continue
         parts = [np.concatenate(c) for c in zip(*kept)]
-        group = _last_two(parts[0])
+        group, is_hot = _group_of(parts[0], hot)
         other = np.flatnonzero(group != group[-1])
         whole = int(other[-1]) + 1 if len(other) else 0
         if whole:
-            yield tuple(c[:whole] for c in parts)
+            yield from parted(tuple(c[:whole] for c in parts), is_hot[:whole])
         kept, size = [tuple(c[whole:] for c in parts)], len(group) - whole
     if size:
-        yield tuple(np.concatenate(c) for c in zip(*kept))
-
+        parts = tuple(np.concatenate(c) for c in zip(*kept))
+        yield from parted(parts, _group_of(parts[0], hot)[1])
 
-def _last_two(pairs: np.ndarray) -> np.ndarray:
-    return pairs >> np.uint64(8 * (DEPTH - 1))
 
+def _fold_groups(hot: np.ndarray):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Counts and weighted ln of contexts of two bytes, summed by their last byte.
 
-def _fold_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts and weighted ln of contexts of two bytes, summed by their last byte."""
-    for pairs, counts, _ in _groups(batches):
-        keys, zeros, ones, below, _ = fold(pairs, counts, 2)[0][-1][0].parents()
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(keys.view(np.int64)), pa.array(zeros), pa.array(ones), pa.array(below)],
-            names=["key", "zeros", "ones", "below"],
-        )
+        Of hot groups those of three bytes, summed by their last two.
+        """
+        for is_hot, pairs, counts, _ in _groups(batches, hot):
+            depth = 2 if is_hot else 1
+            keys, zeros, ones, below, _ = fold(pairs, counts, depth + 1)[0][-1][0].parents()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(keys), depth)), pa.array(keys.view(np.int64)), pa.array(zeros), pa.array(ones), pa.array(below)],
+                names=["depth", "key", "zeros", "ones", "below"],
+            )
 
-
-def slot_of(keys: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """Slot and check of contexts."""
-    h = mix64(keys * np.uint64(8) + np.uint64(depth) + np.uint64(0x51ED270B))
-    return (h >> np.uint64(64 - SLOTS_BITS)).astype(np.int64), (h & np.uint64(0xFFFF)).astype(np.int64)
-
-
-class Model:
-    """A table of predictions of its own by slots; scoring does not go through one, only tests do."""
-
-    def __init__(self, codes: np.ndarray, checks: np.ndarray):
-        self.codes, self.checks = codes, checks
-
-    def pair_logs(self, pairs: np.ndarray) -> np.ndarray:
-        symbol = pairs & np.uint64(255)
-        total = np.zeros(len(pairs))
-        for b in range(8):
-            so_far = np.uint64(1 << b) | (symbol >> np.uint64(8 - b))
-            code = np.full(len(pairs), 32768, np.int64)
-            rest = np.arange(len(pairs))
-            for depth in range(DEPTH, -1, -1):
-                keys = (pairs[rest] >> np.uint64(8 * (1 + DEPTH - depth)) << np.uint64(8)) | so_far[rest]
-                slot, check = slot_of(keys, depth)
-                known = (self.codes[slot] > 0) & (self.checks[slot] == check)
-                code[rest[known]] = self.codes[slot[known]]
-                rest = rest[~known]
-                if not len(rest):
-                    break
-            logit = (code - 32768) / _LOGIT_STEP
-            one = ((symbol >> np.uint64(7 - b)) & np.uint64(1)).astype(bool)
-            total -= np.logaddexp(0.0, np.where(one, -logit, logit))
-        return total / _LN10
+    return run
 
 
 class CommonPairs:
@@ -355,7 +344,7 @@ class CommonPairs:
 class PairLogs:
     """Looks up pairs under a model; remembers the last ones met."""
 
-    def __init__(self, model: Model | CommonPairs):
+    def __init__(self, model: CommonPairs):
         self._model = model
         self._keys = np.zeros(1 << MEMO_BITS, np.uint64)  # a pair + 1
         self._logs = np.zeros(1 << MEMO_BITS)
@@ -422,27 +411,47 @@ class Tree:
     def __init__(self, pairs: DataFrame):
         """`pairs`: pair, n (in training texts) and met (in all texts), settled; a row a pair."""
         self._pairs = pairs
-        one_byte = _grouped(pairs).mapInArrow(_fold_groups, "key long, zeros double, ones double, below double")
-        one_byte = one_byte.groupBy("key").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("below").alias("below"))
-        top = one_byte.toArrow().sort_by("key")  # 256 last bytes x 255 bit contexts at most
-        columns = {c: top[c].to_numpy() for c in top.column_names}
-        level_one = Level(columns["key"].view(np.uint64), columns["zeros"], columns["ones"], columns["below"])
+        two = pairs.groupBy(F.shiftright("pair", 8 * (DEPTH - 1)).alias("two")).agg(F.count("*").alias("n"))
+        two = settle(two)  # 65,536 rows at most
+        total = two.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+        self._hot = [r["two"] for r in two.filter(F.col("n") * HOT_SHARE > total).collect()]  # fewer than HOT_SHARE
+        hot = np.array(self._hot, np.uint64)
+        schema = "depth long, key long, zeros double, ones double, below double"
+        top = self._grouped().mapInArrow(_fold_groups(hot), schema).groupBy("depth", "key")
+        # 256 last bytes x 255 bit contexts, and as many of each hot group, at most.
+        top = top.agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("below").alias("below")).toArrow()
+        top = top.sort_by([("depth", "ascending"), ("key", "ascending")])
+        depth, *columns = (top[c].to_numpy() for c in ("depth", "key", "zeros", "ones", "below"))
+        level_two = Level(*(c[depth == 2] if i else c[depth == 2].view(np.uint64) for i, c in enumerate(columns)))
+        more = level_two.parents()
+        own = [c[depth == 1] for c in columns]
+        keys, inverse = np.unique(np.concatenate([own[0].view(np.uint64), more[0]]), return_inverse=True)
+        level_one = Level(keys, *(np.bincount(inverse, np.concatenate([a, b]), len(keys)) for a, b in zip(own[1:], more[1:4])))
         keys, zeros, ones, below, inverse = level_one.parents()
         level_none = Level(keys, zeros, ones, below)
         mixed, left, _ = follow(level_none, np.zeros(len(keys)), np.ones(len(keys)))
-        self._top = (level_one.keys, *follow(level_one, mixed[inverse], left[inverse])[:2])
+        mixed, left, _ = follow(level_one, mixed[inverse], left[inverse])
+        at = np.searchsorted(level_one.keys, more[0])[more[4]]
+        self._top = (level_one.keys, mixed, left), (level_two.keys, *follow(level_two, mixed[at], left[at])[:2]), hot
+
+    def _grouped(self) -> DataFrame:
+        """Pairs by group, in order inside a partition."""
+        two, three = (F.shiftright("pair", 8 * (DEPTH - n)) for n in (1, 2))
+        group = F.when(two.isin(self._hot), three).otherwise(two) if self._hot else two
+        return self._pairs.repartition(group).sortWithinPartitions("pair")
 
     def logs(self) -> DataFrame:
         """pair, met and log10 of the chance of the pair's byte behind its context, for every pair."""
         shared = self._pairs.sparkSession.sparkContext.broadcast(self._top)
 
         def mix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            keys_one, mixed_one, left_one = shared.value
-            for pairs, counts, met in _groups(batches):
-                levels, places = fold(pairs, counts, 2)
+            *tops, hot = shared.value
+            for is_hot, pairs, counts, met in _groups(batches, hot):
+                levels, places = fold(pairs, counts, 3 if is_hot else 2)
+                top_keys, top_mixed, top_left = tops[int(is_hot)]
                 keys, _, _, _, place = levels[-1][0].parents()
-                at = np.searchsorted(keys_one, keys)
-                mixed, left = mixed_one[at][place], left_one[at][place]
+                at = np.searchsorted(top_keys, keys)
+                mixed, left = top_mixed[at][place], top_left[at][place]
                 for level, parent in reversed(levels):
                     if parent is not None:
                         mixed, left = mixed[parent], left[parent]
@@ -452,7 +461,7 @@ class Tree:
                     [pa.array(pairs.view(np.int64)), pa.array(met), pa.array(logs)], names=["pair", "met", "log"]
                 )
 
-        return _grouped(self._pairs).mapInArrow(mix, "pair long, met long, log double")
+        return self._grouped().mapInArrow(mix, "pair long, met long, log double")
 
     def pair_logs(self, pairs: np.ndarray) -> np.ndarray:
         """The logs of a few pairs, which need not have been counted."""
@@ -464,11 +473,6 @@ class Tree:
         return found["log"].to_numpy()[np.searchsorted(wanted, pairs)]
 
 
-def _grouped(pairs: DataFrame) -> DataFrame:
-    last_two = F.shiftright("pair", 8 * (DEPTH - 1))
-    return pairs.repartition(last_two).sortWithinPartitions("pair")
-
-
 def _summed(counted: DataFrame) -> DataFrame:
     return settle(counted.groupBy("pair").agg(F.sum("n").alias("n"), F.sum("met").alias("met")))
 
@@ -497,10 +501,11 @@ def _keyed_logs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def text_scores(docs: DataFrame) -> DataFrame:
-    """k, held_out, n_tokens, n_known, train_tokens, base_score and score of every document."""
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row."""
     spark = docs.sparkSession
     rows = docs.select(
-        key_of("doc_id").alias("k"),
+        F.col("doc_id").cast("long").alias("doc_id"),
+        digest_of("text").cast("binary").alias("digest"),
         F.coalesce(fold_of(F.col("doc_id")) != HELD_OUT, F.lit(False)).alias("train"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
     )
@@ -518,12 +523,12 @@ def text_scores(docs: DataFrame) -> DataFrame:
     )
 
     def score_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A row for each document with what its frequent words and common pairs give, one for each other word, one for each other pair."""
+        """A row for each text with what its frequent words and common pairs give, one for each other word, one for each other pair."""
         place, count = known.value
         log_base = np.log10((count + 1) / floor)
         logs = PairLogs(CommonPairs(*shared.value))
         for batch in batches:
-            keys = batch.column("k").to_pylist()
+            keys = batch.column("digest").to_pylist()
             texts = dict(_text_rows(batch))
             for rows, line, starts in _lines(iter(texts.items())):
                 word, key, times, sums = [], [], [], []
@@ -543,18 +548,19 @@ def text_scores(docs: DataFrame) -> DataFrame:
                             at.append(i)
                             n.append(here)
                     at, n = np.array(at, np.int64), np.array(n, np.int64)
-                    # No word holds a blank, so this row meets no word and has a key of its own.
-                    word.append(b" %d %d" % (keys[row], row))
+                    # No word holds a blank, so this row meets no word; it shares its key with equal texts.
+                    word.append(b" " + keys[row])
                     key.append(keys[row])
                     times.append(0)
                     total = sum(found.values())
                     sums.append((total, int(n[count[at] > 0].sum()), float(n @ log_base[at]), log_p))
                 yield _scored(word, key, times, sums)
                 if len(pairs):
-                    yield _other_pairs(np.array([keys[row] for row in rows], np.int64)[owner], pairs, n_pairs)
+                    names = pa.array([keys[row] for row in rows], pa.binary()).take(pa.array(owner))
+                    yield _other_pairs(names, pairs, n_pairs)
 
-    partial = rows.select("k", "text").mapInArrow(
-        score_rows, "word binary, k long, times long, n_tokens long, n_known long, base double, score double"
+    partial = rows.select("digest", "text").mapInArrow(
+        score_rows, "word binary, digest binary, times long, n_tokens long, n_known long, base double, score double"
     )
     # A key is a word's or a pair's; both are looked up by one shuffle.
     others = logs_of_pairs.filter(~is_common).mapInArrow(_keyed_logs, "word binary, log double")
@@ -563,15 +569,17 @@ def text_scores(docs: DataFrame) -> DataFrame:
     )
     met = partial.join(known_rows, "word", "left")
     word_base = F.col("times") * F.log10((F.col("c") + 1) / F.lit(floor))
-    met = met.groupBy("k").agg(
-        F.sum("n_tokens").alias("n_tokens"),
-        F.sum(F.coalesce("n_known", F.when(F.col("c") > 0, F.col("times")), F.lit(0))).alias("n_known"),
-        F.sum(F.coalesce("base", word_base)).alias("base_score"),
-        F.sum(F.coalesce("score", F.col("times") * F.col("log"))).alias("score"),
+    # Rows of equal texts give equal sums; each stands for one of them.
+    rows_of_text = F.count("n_tokens")
+    met = met.groupBy("digest").agg(
+        (F.sum("n_tokens") / rows_of_text).cast("long").alias("n_tokens"),
+        (F.sum(F.coalesce("n_known", F.when(F.col("c") > 0, F.col("times")), F.lit(0))) / rows_of_text).cast("long").alias("n_known"),
+        (F.sum(F.coalesce("base", word_base)) / rows_of_text).alias("base_score"),
+        (F.sum(F.coalesce("score", F.col("times") * F.col("log"))) / rows_of_text).alias("score"),
     )
-    return met.select(
-        "k",
-        F.coalesce(fold_of(id_of("k")) == HELD_OUT, F.lit(False)).alias("held_out"),
+    return rows.select("doc_id", "digest").join(met, "digest").select(
+        "doc_id",
+        F.coalesce(fold_of(F.col("doc_id")) == HELD_OUT, F.lit(False)).alias("held_out"),
         "n_tokens",
         "n_known",
         F.lit(n_train).cast("long").alias("train_tokens"),
@@ -585,27 +593,24 @@ def _scored(word: list, key: list, times: list, sums: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [
             pa.array(word, pa.binary()),
-            pa.array(key, pa.int64()),
+            pa.array(key, pa.binary()),
             pa.array(times, pa.int64()),
             pa.array(n_tokens, pa.int64()),
             pa.array(n_known, pa.int64()),
             pa.array(base, pa.float64()),
             pa.array(score, pa.float64()),
         ],
-        names=["word", "k", "times", "n_tokens", "n_known", "base", "score"],
+        names=["word", "digest", "times", "n_tokens", "n_known", "base", "score"],
     )
 
 
-def _other_pairs(key: np.ndarray, pairs: np.ndarray, times: np.ndarray) -> pa.RecordBatch:
+def _other_pairs(key: pa.Array, pairs: np.ndarray, times: np.ndarray) -> pa.RecordBatch:
     none = [pa.nulls(len(pairs), kind) for kind in (pa.int64(), pa.int64(), pa.float64(), pa.float64())]
     return pa.RecordBatch.from_arrays(
-        [pair_keys(pairs), pa.array(key), pa.array(times), *none],
-        names=["word", "k", "times", "n_tokens", "n_known", "base", "score"],
+        [pair_keys(pairs), key, pa.array(times), *none],
+        names=["word", "digest", "times", "n_tokens", "n_known", "base", "score"],
     )
 
 
 def op10_context_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = text_scores(table(spark, sf_dir, "documents"))
-    return scored.select(
-        id_of("k").alias("doc_id"), "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"
-    )
+    return text_scores(table(spark, sf_dir, "documents"))
