@@ -14,10 +14,14 @@ A source may hold any share of the rows: ranks are cut into `BUCKETS` slices, wo
 summed by source and slice before any shuffle, and only the slice in which a target is
 reached is put in order.
 
+Rows with one doc_id, source and text cannot be told apart: they are counted first, by partial
+aggregates, and drawn as a whole, except at the cut, where as many of them are taken as fit.
+Rows with equal doc_id and other texts draw the same number and stand in the order of their
+texts' digests.  So a source meets its target within one document, whatever its ids are.
+
 Null text has size 0 and is never taken.  A null source is a source of its own, the last.
-A null doc_id draws as the text "null".  Rows with equal doc_id draw the same number;
-the row added last for a source is known by its doc_id, so all rows with it are added.
-An empty table gives an empty result.  Other columns are not read.
+A null doc_id draws as the text "null".  An empty table gives an empty result.  Other columns
+are not read.
 """
 
 from __future__ import annotations
@@ -28,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from bloomledger.llm.common import settle, table, with_small
+from bloomledger.llm.common import digest_of, settle, table, with_small
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (1, 2, 3)
@@ -54,10 +58,14 @@ def uniform(doc_id: Column, seed: str = SEED) -> Column:
 def source_targets(sized: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST) -> DataFrame:
     """source, source_size, n_docs, target: one row per source.
 
-    `sized` has a row per document with source and size.  The table of sources is small
-    next to that of documents, so it is ordered in one place.
+    `sized` has a row per document with source and size, or rows with how many documents
+    (`times`) they stand for.  The table of sources is small next to that of documents, so it is
+    ordered in one place.
     """
-    sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
+    times = F.col("times") if "times" in sized.columns else F.lit(1)
+    sources = sized.groupBy("source").agg(
+        F.sum(F.col("size") * times).alias("source_size"), F.sum(times).cast("long").alias("n_docs")
+    )
     turn = F.pmod(F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1, F.lit(len(weights)))
     sources = sources.withColumn("w", F.element_at(F.array(*map(F.lit, weights)), (turn + 1).cast("int")).cast("double"))
     sources = sources.withColumn("cap", (F.lit(most) * F.col("source_size")).cast("double"))
@@ -82,17 +90,18 @@ def source_targets(sized: DataFrame, weights: Sequence[int] = WEIGHTS, most: int
     return sources.select("source", "source_size", "n_docs", target.alias("target"))
 
 
-def pareto_mix(
+def mixed_documents(
     docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST, seed: str = SEED, buckets: int = BUCKETS
 ) -> DataFrame:
-    """doc_id, source, size, source_size, target, copies and taken words for every row."""
-    sized = settle(
-        docs.select(
-            F.col("doc_id"),
-            F.col("source").cast("string").alias("source"),
-            word_count(F.col("text")).alias("size"),
-        )
+    """A row for each doc_id, source and text that is there: how many rows, and what is taken of them.
+
+    doc_id, source, digest, size, times, source_size, target; `whole` copies are taken of each of
+    the rows, and one more of `extra` of them.
+    """
+    named = docs.select(
+        "doc_id", F.col("source").cast("string").alias("source"), digest_of("text").alias("digest"), word_count(F.col("text")).alias("size")
     )
+    sized = settle(named.groupBy("doc_id", "source", "digest", "size").agg(F.count("*").alias("times")))
     targets = source_targets(sized, weights, most)
     some = F.col("source_size") > 0
     whole = F.when(some, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
@@ -112,6 +121,7 @@ def pareto_mix(
         .withColumn("p", F.when((F.col("fraction") > 0) & (F.col("size") > 0), chance))
         .withColumn("q", (F.col("u") / (1 - F.col("u"))) / (F.col("p") / (1 - F.col("p"))))
         .withColumn("bucket", F.floor(F.lit(float(buckets)) * (F.col("q") / (1 + F.col("q")))))
+        .withColumn("words", F.col("size") * F.col("times"))
         .drop("u", "p", "fraction", "mean_size", "n_docs")
     )
 
@@ -120,60 +130,70 @@ def pareto_mix(
     slices = (
         ranked.filter("q is not null")
         .groupBy("source", "bucket", "rest")
-        .agg(F.sum("size").alias("words"))
-        .withColumn("words_through", F.sum("words").over(in_order))
+        .agg(F.sum("words").alias("in_slice"))
+        .withColumn("words_through", F.sum("in_slice").over(in_order))
         .filter(F.col("words_through") > F.col("rest"))
         .groupBy("source")
-        .agg(F.min(F.struct("bucket", (F.col("words_through") - F.col("words")).alias("words_before"))).alias("cut"))
+        .agg(F.min(F.struct("bucket", (F.col("words_through") - F.col("in_slice")).alias("words_before"))).alias("cut"))
         .select(F.col("source").alias("cut_source"), "cut.bucket", "cut.words_before")
         .withColumnRenamed("bucket", "cut_bucket")
     )
     slices = settle(slices)
     ranked = with_small(ranked, slices, F.col("source").eqNullSafe(F.col("cut_source")), "left").drop("cut_source")
 
-    reached = Window.partitionBy("source").orderBy("q", "doc_id")
-    at_cut = (
-        ranked.filter("bucket = cut_bucket")
-        .withColumn("words_through", F.col("words_before") + F.sum("size").over(reached))
-        .filter(F.col("words_through") <= F.col("rest"))
-        .groupBy("source")
-        .agg(F.max(F.struct("q", "doc_id")).alias("last"), F.max("words_through").alias("words"))
-        .select(F.col("source").alias("last_source"), "last", F.col("words").alias("words_at_cut"))
+    # Inside that slice documents are taken in order, as many as fit.
+    at_cut = F.coalesce(F.col("bucket") == F.col("cut_bucket"), F.lit(False))
+    order = Window.partitionBy("source").orderBy("q", "doc_id", "digest")
+    before = F.coalesce(F.sum("words").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + F.col("words_before")
+    fit = F.floor((F.col("rest") - before) / F.col("size")).cast("long")
+    cut = settle(ranked.filter(at_cut).withColumn("extra", F.greatest(F.lit(0), F.least(F.col("times"), fit)).cast("long")))
+    all_of_them = F.col("q").isNotNull() & (F.col("cut_bucket").isNull() | (F.col("bucket") < F.col("cut_bucket")))
+    outside = ranked.filter(~at_cut).withColumn("extra", F.when(all_of_them, F.col("times")).otherwise(F.lit(0)).cast("long"))
+
+    # The document whose size is nearest to what the source still lacks is added.
+    taken = cut.groupBy("source").agg(
+        (F.first("rest") - F.first("words_before") - F.sum(F.col("extra") * F.col("size"))).alias("lacks")
     )
-    at_cut = settle(at_cut)
-    ranked = with_small(ranked, at_cut, F.col("source").eqNullSafe(F.col("last_source")), "left").drop("last_source")
-    drawn = (
-        F.col("q").isNotNull()
-        & (
-            F.col("cut_bucket").isNull()
-            | (F.col("bucket") < F.col("cut_bucket"))
-            | (
-                (F.col("bucket") == F.col("cut_bucket"))
-                & F.col("last").isNotNull()
-                & (F.struct("q", "doc_id") <= F.col("last"))
-            )
-        )
+    taken = settle(taken.withColumnRenamed("source", "cut_source"))
+    drawn = cut.unionByName(outside)
+    candidates = with_small(
+        drawn.filter("q is not null and cut_bucket is not null and extra < times"),
+        taken,
+        F.col("source").eqNullSafe(F.col("cut_source")),
     )
-    ranked = ranked.withColumn("drawn", F.coalesce(drawn, F.lit(False)))
-
-    # The document whose size is nearest to what the source still lacks.
-    lacks = F.col("rest") - F.coalesce(F.col("words_at_cut"), F.col("words_before"))
     nearest = (
-        ranked.filter("q is not null and cut_bucket is not null and not drawn")
-        .withColumn("off", F.abs(F.col("size") - lacks))
-        .filter(F.col("off") < lacks)
+        candidates.withColumn("off", F.abs(F.col("size") - F.col("lacks")))
+        .filter(F.col("off") < F.col("lacks"))
         .groupBy("source")
-        .agg(F.min(F.struct("off", "q", "doc_id")).alias("best"))
+        .agg(F.min(F.struct("off", "q", "doc_id", "digest")).alias("best"))
         .select(F.col("source").alias("best_source"), "best")
     )
     nearest = settle(nearest)
-    ranked = with_small(ranked, nearest, F.col("source").eqNullSafe(F.col("best_source")), "left")
-    added = F.coalesce(
-        F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("q") == F.col("best.q")) & ~F.col("drawn"),
-        F.lit(False),
+    drawn = with_small(drawn, nearest, F.col("source").eqNullSafe(F.col("best_source")), "left")
+    added = F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("digest") == F.col("best.digest")) & F.col("q").isNotNull()
+    extra = F.col("extra") + F.coalesce(added, F.lit(False)).cast("long")
+    taken_at_all = F.col("size") > 0
+    return drawn.select(
+        "doc_id",
+        "source",
+        "digest",
+        "size",
+        "times",
+        "source_size",
+        "target",
+        F.when(taken_at_all, F.col("whole")).otherwise(F.lit(0)).cast("long").alias("whole"),
+        F.when(taken_at_all, extra).otherwise(F.lit(0)).cast("long").alias("extra"),
     )
-    copies = F.when(F.col("size") > 0, F.col("whole") + (F.col("drawn") | added).cast("long")).otherwise(F.lit(0))
-    return ranked.withColumn("copies", copies.cast("long")).select(
+
+
+def pareto_mix(
+    docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST, seed: str = SEED, buckets: int = BUCKETS
+) -> DataFrame:
+    """doc_id, source, size, source_size, target, copies and taken words for every row."""
+    mixed = mixed_documents(docs, weights, most, seed, buckets)
+    rows = mixed.withColumn("number", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times"))))
+    copies = F.col("whole") + (F.col("number") <= F.col("extra")).cast("long")
+    return rows.withColumn("copies", copies).select(
         "doc_id",
         "source",
         "size",

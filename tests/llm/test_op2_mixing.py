@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 
 import pytest
@@ -77,12 +78,62 @@ def test_sources_come_near_their_targets(spark):
     assert len(sums) == 20 and all(abs(r.taken - r.target) <= 0.02 * r.target for r in sums)
 
 
+def brute_rows(docs):
+    """(doc_id, source, text) rows, ids repeated and null -> sorted (id, source, size, copies)."""
+    size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t or ""))
+    sizes = {}
+    for _, source, text in docs:
+        sizes[source] = sizes.get(source, 0) + size(text)
+    out = []
+    for source, target in targets_by_rounds(sizes).items():
+        own = [(d, t, size(t)) for d, s, t in docs if s == source]
+        whole = int(target // sizes[source]) if sizes[source] else 0
+        rest = target - whole * sizes[source]
+        ranked = []
+        for d, t, n in own:
+            if n and rest > 0:
+                name = "null" if d is None else d
+                u = (int(hashlib.md5(f"{mixing.SEED}:{name}".encode()).hexdigest()[:13], 16) + 0.5) / 16.0**13
+                p = rest / sizes[source] * (0.5 + 0.5 * (n / (n + sizes[source] / len(own))))
+                ranked.append([(u / (1 - u)) / (p / (1 - p)), -(2**63) if d is None else d, hashlib.md5(t.encode()).hexdigest(), n, 0])
+            else:
+                out.append((d, source, n, whole if n else 0))
+        words, ranked = 0, sorted(ranked)
+        for row in ranked:
+            if words + row[3] > rest:
+                break
+            words += row[3]
+            row[4] = 1
+        left = min(((abs(r[3] - (rest - words)), r[0], r[1], r[2], i) for i, r in enumerate(ranked) if not r[4]), default=None)
+        if left and left[0] < rest - words:
+            ranked[left[4]][4] = 1
+        out += [(None if d == -(2**63) else d, source, n, whole + more) for _, d, _, n, more in ranked]
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("buckets", [4096, 2])
+def test_rows_of_one_id_equal_brute_force(spark, buckets):
+    rng = random.Random(4)
+    rows = [(rng.choice([None, None, i, 7, 8]), rng.choice(["a", "b", None]), " ".join(["w"] * rng.randrange(9)) + rng.choice(["", " x", " y"])) for i in range(400)]
+    rows += [(None, "a", "same text of six words here")] * 60 + [(9, "b", "same text")] * 50 + [(3, "a", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(5)
+    got = sorted(((r.doc_id, r.source, r.size, r.copies) for r in mixing.pareto_mix(docs, buckets=buckets).collect()), key=str)
+    assert got == brute_rows(rows)
+
+
+@pytest.mark.parametrize("texts", [1, 1000])
+def test_hot_source_without_ids_meets_its_target(spark, texts):
+    rows = [(None, f"ten words {i % texts} " + "w " * 7, "hot") for i in range(1000)] + [(i, "w " * 10, "other") for i in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    sums = mixing.pareto_mix(docs).groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target"), F.count("*").alias("n")).collect()
+    assert len(sums) == 2 and all(abs(r.taken - r.target) <= 10 and r.n == 1000 for r in sums)
+
+
 def test_odd_rows(odd, empty):
     rows = mixing.pareto_mix(odd).collect()
     assert len(rows) == odd.count()
     assert all(r.copies == 0 for r in rows if r.size == 0)
     assert {r.size for r in rows if r.doc_id in (1, 2, 3)} == {0}
-    assert len({r.copies for r in rows if r.doc_id == 6}) == 1
     assert sorted(map(tuple, rows), key=str) == sorted(map(tuple, mixing.pareto_mix(odd).collect()), key=str)
     assert mixing.pareto_mix(empty).count() == 0
     assert mixing.pareto_mix(odd.withColumn("text", F.lit(None).cast("string"))).agg(F.sum("copies")).first()[0] == 0
