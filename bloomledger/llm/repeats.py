@@ -22,10 +22,10 @@ so there is one suffix for about 40 bytes.
 4. The first and last gram of a bucket may go on in the next one: there, the first of equals
    of each bucket are compared once more across the boundaries.
 
-Null text is empty; texts shorter than LENGTH lose nothing.  Rows with equal doc_id are one
-document: what starts at the same place of it is one string, and a span that goes, goes from
-each.  A null doc_id is the smallest.  An empty table gives an empty result.  Other columns
-are not read.
+Null text is empty; texts shorter than LENGTH lose nothing.  A null doc_id is the smallest.
+Rows with equal doc_id and different texts are documents of their own, in the order of the
+texts' digests; rows with equal doc_id and text are one document and have one result.  An
+empty table gives an empty result.  Other columns are not read.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from bloomledger.llm.common import CHUNK_BYTES, id_of, key_of, mix64, row_chunks, settle, table, text_buffers
+from bloomledger.llm.common import CHUNK_BYTES, RowKeys, mix64, row_chunks, settle, table, text_buffers
 
 LENGTH = 100
 GRAM = 16
@@ -321,18 +321,23 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Spans that are surely repeated (w null), and strings to compare across boundaries (w)."""
     bucket = Bucket()
     waiting: list[pa.RecordBatch] = []
+    size, last = 0, None
     for batch in batches:
         if not batch.num_rows:
             continue
+        t0, t1 = batch.column("t0"), batch.column("t1")
+        before, first, last = last, (t0[0], t1[0]), (t0[-1], t1[-1])
         waiting.append(batch)
-        if sum(b.num_rows for b in waiting) < BLOCK_ROWS:
+        size += batch.num_rows
+        # While one gram goes on, its rows are only gathered.
+        if size < BLOCK_ROWS or before == first == last:
             continue
         rows = pa.Table.from_batches(waiting).combine_chunks()
         t0, t1 = rows.column("t0").to_numpy(), rows.column("t1").to_numpy()
-        last = np.flatnonzero((t0 != t0[-1]) | (t1 != t1[-1]))
-        whole = int(last[-1]) + 1 if len(last) else 0  # the last gram waits for its end
+        other = np.flatnonzero((t0 != t0[-1]) | (t1 != t1[-1]))
+        whole = int(other[-1]) + 1 if len(other) else 0  # the last gram waits for its end
         yield from bucket.compare(rows.slice(0, whole).combine_chunks(), closed=True)
-        waiting = rows.slice(whole).combine_chunks().to_batches()
+        waiting, size = rows.slice(whole).combine_chunks().to_batches(), len(t0) - whole
     if waiting:
         yield from bucket.compare(pa.Table.from_batches(waiting).combine_chunks(), closed=False)
 
@@ -402,15 +407,15 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
-    """Key, bytes, removed bytes, removed runs and digest of the rest of every row."""
-    texts = docs.select(key_of("doc_id").alias("k"), F.col("text").cast("string").alias("text"))
-    marked = texts.join(repeated_spans(texts), "k", "left").select("k", "text", "spans")
-    return marked.mapInArrow(_cut, "k long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    """doc_id, bytes, removed bytes, removed runs and digest of the rest of every row."""
+    keys = RowKeys(docs)
+    marked = keys.texts.join(repeated_spans(keys.one_each()), "k", "left")
+    cut = marked.select("k", "text", "spans").mapInArrow(_cut, "k long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return keys.with_id(cut, "k").select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = remove_repeats(table(spark, sf_dir, "documents"))
-    return found.select(id_of("k").alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return remove_repeats(table(spark, sf_dir, "documents"))
 
 
 # Every string of 100 bytes by its digest, all but the first of equals, and what they cover.

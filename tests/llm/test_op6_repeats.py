@@ -25,7 +25,7 @@ def brute(docs):
 
 def found(frame):
     rows = repeats.remove_repeats(frame).collect()
-    return {None if r.k == -(2**63) else r.k: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows}
+    return {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows}
 
 
 def mixed_docs(seed, n):
@@ -101,11 +101,27 @@ def test_very_long_text_is_read_in_steps(spark, monkeypatch):
 def test_odd_rows(odd, empty):
     rows = repeats.remove_repeats(odd).collect()
     assert len(rows) == odd.count()
-    by = {r.k: r for r in rows}
+    by = {r.doc_id: r for r in rows}
     assert by[5].n_removed == 200000 - 1 and by[1].n_bytes == 0 and by[6].n_removed == 0
     assert repeats.remove_repeats(empty).count() == 0
 
 
+def brute_rows(docs):
+    """Rows with null and repeated ids: each (id, text) a document, by id and digest of the text."""
+    own = sorted(set(docs), key=lambda r: (r[0] is not None, r[0] or 0, hashlib.md5((r[1] or "").encode()).hexdigest()))
+    results = brute([(i, text) for i, (_, text) in enumerate(own)])
+    by = {row: results[i] for i, row in enumerate(own)}
+    return sorted(((i, *by[i, text]) for i, text in docs), key=str)
+
+
+def test_rows_of_one_id_equal_brute_force(spark):
+    docs = [(rng_id, text) for rng_id, (_, text) in zip([None, 3, 3, 7, 9, 5, None, 5] * 30, mixed_docs(23, 230))]
+    docs = [(i, text or "") for i, text in docs]
+    docs += docs[:20] + [(2, docs[5][1]), (2, "own words of a second text that has the id of a copy " * 4), (90, "x own words of a second text that has the id of a copy " * 4)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    assert sorted((tuple(r) for r in repeats.remove_repeats(frame).collect()), key=str) == brute_rows(docs)
+
+
 def test_query_on_given_documents(spark, sf_dir):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in repeats.op6_suffix_dedup(spark, sf_dir).collect()}
