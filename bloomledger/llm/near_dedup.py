@@ -4,7 +4,8 @@
 2. A set's 64-bit hashes fall into `BINS` bins by their leading bits, and a bin keeps its
    least one.  An empty bin borrows from a filled one that a fixed random order of its
    own picks (optimal densification).  `ROWS` bins make a band; equal bands are a bucket.
-   At the threshold a pair misses all `BANDS` buckets with a probability below 1e-5.
+   At a threshold of 85 % a pair misses all 32 bands of 7 with a probability below 1e-5, at
+   80 % all 40 bands of 6 with one below 1e-5 (`bands_for`).
 3. In a bucket only edges to its centre are candidates (a star).  The centre is the class
    that meets most others over all its buckets, which in a group of copies of one text is
    that text.  Edges are confirmed on the full sets.
@@ -18,10 +19,11 @@
 Edges of a hot centre are cut into blocks of bounded size.  Band rows are counted before
 they are joined, and full sets are computed from text again where they are compared.
 
-Null or blank text: empty set, linked with nothing, a component of its own.  Null doc_id:
-one document, the smallest; its component_id is null.  Rows with equal doc_id are one
-document: they share a component, and if their texts differ its links are judged on any one.  An empty table gives an empty
-result.  Other columns are not read.
+Null or blank text: empty set, linked with nothing, a component of its own.  A null doc_id is
+the smallest, and so is its component_id.  Each row is judged by its own text: different texts
+of one doc_id, or without one, are linked if they are alike, and each is a document that can be
+kept; rows with one doc_id and one text are one document.  An empty table gives an empty result.
+Other columns are not read.
 """
 
 from __future__ import annotations
@@ -33,41 +35,52 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bloomledger.llm.common import id_of, key_of, mix64, row_chunks, settle, table, text_buffers
+from bloomledger.llm.common import RowKeys, mix64, row_chunks, settle, table, text_buffers
 from bloomledger.llm.components import connected_components
 from bloomledger.llm.shingles import shingle_sets
 
 PERCENT = 85
-BANDS, ROWS = 32, 7
-BINS = BANDS * ROWS
 BLOCK = 256  # edges of a centre, or members of a bucket, that one group holds
 COLUMNS = 4096  # shingles of a matrix part
 
-# Order in which an empty bin (row) looks for a filled one (column).
-_BORROW = mix64(np.arange(BINS * BINS, dtype=np.uint64) + np.uint64(1)).reshape(BINS, BINS)
-_BAND_SEEDS = mix64(np.arange(BANDS, dtype=np.uint64) + np.uint64(0xBA2D))
 
+class Bands:
+    """How signatures are cut into buckets: bins, and bands of rows."""
 
-def signature(hashes: np.ndarray) -> np.ndarray:
+    def __init__(self, bands: int, rows: int):
+        self.bands, self.rows, self.bins = bands, rows, bands * rows
+        # Order in which an empty bin (row) looks for a filled one (column).
+        self.borrow = mix64(np.arange(self.bins**2, dtype=np.uint64) + np.uint64(1)).reshape(self.bins, self.bins)
+        self.seeds = mix64(np.arange(bands, dtype=np.uint64) + np.uint64(0xBA2D))
+
+
+def bands_for(percent: int) -> Bands:
+    """Bands that a pair at the threshold misses altogether with a probability below 1e-5."""
+    if percent < 80:
+        raise ValueError("near copies are sought at 80 % and more")
+    return Bands(32, 7) if percent >= 85 else Bands(40, 6)
+
+
+def signature(hashes: np.ndarray, how: Bands) -> np.ndarray:
     """The least hash of each bin, empty bins filled; `hashes` is sorted and not empty."""
-    bins = ((hashes >> np.uint64(32)) * np.uint64(BINS) >> np.uint64(32)).astype(np.int64)
+    bins = ((hashes >> np.uint64(32)) * np.uint64(how.bins) >> np.uint64(32)).astype(np.int64)
     first = np.flatnonzero(np.diff(bins, prepend=-1))
     filled = bins[first]
-    out = np.zeros(BINS, np.uint64)
+    out = np.zeros(how.bins, np.uint64)
     out[filled] = hashes[first]
-    if len(filled) < BINS:
-        empty = np.ones(BINS, bool)
+    if len(filled) < how.bins:
+        empty = np.ones(how.bins, bool)
         empty[filled] = False
         empty = np.flatnonzero(empty)
-        out[empty] = out[filled[_BORROW[np.ix_(empty, filled)].argmin(axis=1)]]
+        out[empty] = out[filled[how.borrow[np.ix_(empty, filled)].argmin(axis=1)]]
     return out
 
 
-def band_keys(signatures: np.ndarray) -> np.ndarray:
+def band_keys(signatures: np.ndarray, how: Bands) -> np.ndarray:
     """One 64-bit bucket key per band: rows x bands."""
-    parts = signatures.reshape(len(signatures), BANDS, ROWS)
-    keys = np.broadcast_to(_BAND_SEEDS, parts.shape[:2]).copy()
-    for j in range(ROWS):
+    parts = signatures.reshape(len(signatures), how.bands, how.rows)
+    keys = np.broadcast_to(how.seeds, parts.shape[:2]).copy()
+    for j in range(how.rows):
         keys = mix64(keys * np.uint64(0x9E3779B97F4A7C15) + parts[:, :, j])
     return keys
 
@@ -75,30 +88,35 @@ def band_keys(signatures: np.ndarray) -> np.ndarray:
 _PRINTS = "k long, n_shingles long, set_a long, set_b long, bands array<long>"
 
 
-def _prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _prints(bands: int, rows: int):
     """Size, two hashes and bucket keys of each row's shingle set."""
-    for batch in batches:
-        data, offsets = text_buffers(batch.column("text"))
-        for start, end in row_chunks(offsets):
-            part = offsets[start : end + 1]
-            sets = shingle_sets(data[part[0] : part[-1]], part - part[0])
-            sizes = np.array([len(s) for s in sets], np.int64)
-            some = [s for s in sets if len(s)]
-            with np.errstate(over="ignore"):
-                one = np.array([mix64(s ^ np.uint64(0x5BD1E995)).sum(dtype=np.uint64) for s in sets], np.uint64)
-                two = np.array([np.bitwise_xor.reduce(mix64(s + np.uint64(0xC2B2AE35))) for s in sets], np.uint64)
-                keys = band_keys(np.array([signature(s) for s in some])) if some else np.zeros((0, BANDS), np.uint64)
-            ends = np.concatenate([[0], np.cumsum(np.where(sizes > 0, BANDS, 0))]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("k").slice(start, end - start),
-                    pa.array(sizes),
-                    pa.array(one.view(np.int64)),
-                    pa.array(two.view(np.int64)),
-                    pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.ravel().view(np.int64))),
-                ],
-                names=["k", "n_shingles", "set_a", "set_b", "bands"],
-            )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        how = Bands(bands, rows)
+        for batch in batches:
+            data, offsets = text_buffers(batch.column("text"))
+            for start, end in row_chunks(offsets):
+                part = offsets[start : end + 1]
+                sets = shingle_sets(data[part[0] : part[-1]], part - part[0])
+                sizes = np.array([len(s) for s in sets], np.int64)
+                some = [s for s in sets if len(s)]
+                with np.errstate(over="ignore"):
+                    one = np.array([mix64(s ^ np.uint64(0x5BD1E995)).sum(dtype=np.uint64) for s in sets], np.uint64)
+                    two = np.array([np.bitwise_xor.reduce(mix64(s + np.uint64(0xC2B2AE35))) for s in sets], np.uint64)
+                    keys = band_keys(np.array([signature(s, how) for s in some]), how) if some else np.zeros((0, bands), np.uint64)
+                ends = np.concatenate([[0], np.cumsum(np.where(sizes > 0, bands, 0))]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("k").slice(start, end - start),
+                        pa.array(sizes),
+                        pa.array(one.view(np.int64)),
+                        pa.array(two.view(np.int64)),
+                        pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.ravel().view(np.int64))),
+                    ],
+                    names=["k", "n_shingles", "set_a", "set_b", "bands"],
+                )
+
+    return run
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,10 +156,10 @@ def overlaps(texts: DataFrame, edges: DataFrame) -> DataFrame:
     return ordered.select("a", "b", "text").mapInArrow(_compare, "a long, b long, shared long, either long")
 
 
-def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """k (the id's key), n_shingles and component (a key) of every row."""
-    texts = docs.select(key_of("doc_id").alias("k"), F.col("text").cast("string").alias("text"))
-    prints = settle(texts.mapInArrow(_prints, _PRINTS))
+def near_groups(texts: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """k, n_shingles and component (a key) of every row (k, text); rows of one key have one text."""
+    how = bands_for(percent)
+    prints = settle(texts.mapInArrow(_prints(how.bands, how.rows), _PRINTS))
     same = ["set_a", "set_b", "n_shingles"]
     classes = settle(
         prints.filter("n_shingles > 0").groupBy(*same).agg(F.min("k").alias("r"), F.first("bands").alias("bands"))
@@ -161,9 +179,7 @@ def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     measured = overlaps(texts, stars).groupBy("a", "b").agg(F.max(F.struct("shared", "either")).alias("o"))
     measured = settle(measured.select("a", "b", "o.*"))
     linked = f"100 * shared >= {percent} * either"
-    links = measured.filter(linked).select("a", "b")
-    links = links.unionByName(_same_id_links(classes, prints, same))
-    groups = settle(connected_components(links))
+    groups = settle(connected_components(measured.filter(linked).select("a", "b")))
 
     late = settle(_hidden_links(rows, groups, texts, percent))
     edges = groups.select(F.col("id").alias("a"), F.col("component").alias("b"))
@@ -175,15 +191,6 @@ def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     return out.select("k", "n_shingles", F.coalesce("component", "k").alias("component"))
 
 
-def _same_id_links(classes: DataFrame, prints: DataFrame, same: list[str]) -> DataFrame:
-    """Links between classes that rows of one doc_id fall into."""
-    spread = prints.filter("n_shingles > 0").select("k", *same).distinct()
-    many = spread.groupBy("k").agg(F.count("*").alias("n")).filter("n > 1").select("k")
-    found = spread.join(many, "k").join(classes.select(*same, "r"), same)
-    first = found.groupBy("k").agg(F.min("r").alias("a"))
-    return found.join(first, "k").filter("a <> r").select("a", F.col("r").alias("b"))
-
-
 def links_between(sets: list[np.ndarray], component: np.ndarray, block: np.ndarray, percent: int) -> np.ndarray:
     """Pairs of rows (i < j) of different components that are linked.
 
@@ -258,14 +265,15 @@ def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         yield np.array(ids), np.array(blocks), np.array(components), sets
 
 
+def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """doc_id, n_shingles, component_id and kept of every row."""
+    keys = RowKeys(docs)
+    found = keys.with_id(keys.with_id(near_groups(keys.texts, percent), "k"), "component", "component_id")
+    return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = near_groups(table(spark, sf_dir, "documents"))
-    return found.select(
-        id_of("k").alias("doc_id"),
-        "n_shingles",
-        id_of("component").alias("component_id"),
-        (F.col("k") == F.col("component")).alias("kept"),
-    )
+    return near_duplicates(table(spark, sf_dir, "documents"))
 
 
 # All pairs of documents that share a shingle, and everything that can be reached over links.

@@ -10,7 +10,7 @@ def shingles(text):
     return frozenset(tuple(words[i : i + 5]) for i in range(len(words) - 4))
 
 
-def components(docs):
+def components(docs, percent=85):
     """{doc_id: text} -> {doc_id: smallest id of its group}."""
     sets = {d: shingles(t) for d, t in docs.items()}
     group = {d: d for d in docs}
@@ -24,9 +24,9 @@ def components(docs):
     for i, a in enumerate(ids):
         for b in ids[i + 1 :]:
             x, y = sets[a], sets[b]
-            if x and y and min(len(x), len(y)) * 100 >= 85 * max(len(x), len(y)):
+            if x and y and min(len(x), len(y)) * 100 >= percent * max(len(x), len(y)):
                 shared = len(x & y)
-                if 100 * shared >= 85 * (len(x) + len(y) - shared):
+                if 100 * shared >= percent * (len(x) + len(y) - shared):
                     one, other = find(a), find(b)
                     group[max(one, other)] = min(one, other)
     return {d: find(d) for d in ids}

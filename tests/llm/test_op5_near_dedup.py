@@ -8,10 +8,10 @@ from bloomledger.llm.shingles import shingle_sets
 from brute_near import components, shingles
 
 
-def check(spark, docs):
-    frame = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(5)
-    got = {r.k: (r.component, r.n_shingles) for r in near_dedup.near_groups(frame).collect()}
-    want = components(docs)
+def check(spark, docs, percent=85):
+    frame = spark.createDataFrame(list(docs.items()), "k long, text string").repartition(5)
+    got = {r.k: (r.component, r.n_shingles) for r in near_dedup.near_groups(frame, percent).collect()}
+    want = components(docs, percent)
     assert got == {d: (want[d], len(shingles(t))) for d, t in docs.items()}
     return want
 
@@ -23,7 +23,8 @@ def changed(rng, words, n):
     return out
 
 
-def test_groups_equal_all_pairs(spark):
+@pytest.mark.parametrize("percent", [80, 85])
+def test_groups_equal_all_pairs(spark, percent):
     rng = random.Random(2)
     docs, vocabulary = {}, [f"w{i}" for i in range(3000)]
     for _ in range(60):
@@ -32,10 +33,23 @@ def test_groups_equal_all_pairs(spark):
         for _ in range(rng.randrange(4)):
             n = rng.randrange(0, max(1, len(words) // 25) + 1)
             docs[len(docs)] = " ".join(changed(rng, words, min(n, len(words)))).title()
-    found = check(spark, docs)
+    found = check(spark, docs, percent)
     assert len(set(found.values())) < len(docs)
 
 
+def test_pairs_at_eighty_percent_share_a_bucket():
+    rng, how = np.random.default_rng(5), near_dedup.bands_for(80)
+    for size in (8, 20, 90, 400):
+        for _ in range(300):
+            pool = np.unique(rng.integers(0, 2**64, size, dtype=np.uint64))
+            cut = len(pool) // 10  # 8 of 10 are common
+            one, other = np.sort(pool[: len(pool) - cut]), np.sort(pool[cut:])
+            keys = near_dedup.band_keys(np.array([near_dedup.signature(s, how) for s in (one, other)]), how)
+            assert (keys[0] == keys[1]).any()
+    with pytest.raises(ValueError):
+        near_dedup.bands_for(79)
+
+
 def test_star_of_copies_that_differ_from_each_other(spark):
     """Every copy is linked with the base alone, which has not the smallest id."""
     rng = random.Random(4)
@@ -91,13 +105,13 @@ def test_hidden_links_are_found(spark, monkeypatch, block):
 
 
 def test_densified_signatures_agree_like_the_sets():
-    rng = np.random.default_rng(0)
+    rng, how = np.random.default_rng(0), near_dedup.bands_for(85)
     for size in (3, 30, 1000):
         agree, jaccard = [], []
         for _ in range(60):
             pool = rng.integers(0, 2**63, 2 * size, dtype=np.uint64)
             a, b = np.unique(pool[: size + size // 3]), np.unique(pool[size // 3 : size + size // 2])
-            agree.append((near_dedup.signature(a) == near_dedup.signature(b)).mean())
+            agree.append((near_dedup.signature(a, how) == near_dedup.signature(b, how)).mean())
             jaccard.append(len(np.intersect1d(a, b)) / len(np.union1d(a, b)))
         assert abs(np.mean(agree) - np.mean(jaccard)) < 0.06
 
@@ -132,14 +146,23 @@ def test_components(spark):
 
 
 def test_odd_rows(odd, empty, spark):
-    rows = near_dedup.near_groups(odd).collect()
+    rows = near_dedup.near_duplicates(odd).collect()
     assert len(rows) == odd.count()
     groups = {}
     for r in rows:
-        groups.setdefault(r.component, set()).add(r.k)
-    assert groups[6] == {6, 7} and groups[1] == {1}
-    assert all(r.n_shingles == 0 for r in rows if r.k in (1, 2, 3))
-    assert near_dedup.near_groups(empty).count() == 0
+        groups.setdefault(r.component_id, []).append(r.doc_id)
+    assert sorted(groups[6]) == [6, 6, 7] and groups[1] == [1] and groups[None] == [None, None]
+    assert all(r.n_shingles == 0 for r in rows if r.doc_id in (1, 2, 3))
+    assert near_dedup.near_duplicates(empty).count() == 0
+
+
+def test_different_texts_of_one_id_are_not_linked(spark):
+    text = lambda i: " ".join(f"w{i}x{j}" for j in range(40))
+    rows = [(None, text(1)), (None, text(2)), (5, text(1) + " more"), (5, text(3)), (5, text(3)), (6, text(3) + " end"), (4, text(4))]
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    found = sorted(((r.doc_id or 0, r.n_shingles, r.component_id or 0, r.kept) for r in got))
+    want = [(0, 36, 0, True), (0, 36, 0, True), (4, 36, 4, True), (5, 36, 5, True), (5, 36, 5, True), (5, 37, 0, False), (6, 37, 5, False)]
+    assert found == want
 
 
 def test_query_on_given_documents(spark, sf_dir):

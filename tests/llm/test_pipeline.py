@@ -4,7 +4,7 @@ import re
 import corpus_pipeline
 import pytest
 import xxhash
-from bloomledger.llm import language_id, sharding, stages
+from bloomledger.llm import language_id, mixing, sharding, stages
 from brute_near import components
 from test_op2_mixing import brute as brute_mix
 
@@ -21,12 +21,12 @@ def test_pipeline_equals_brute_force(spark, sf_dir):
     docs = {r.doc_id: r for r in documents.collect()}
     names, sure = language_id.Scorer(model).predict([r.text for r in docs.values()])
     docs = {d: r for (d, r), name, s in zip(docs.items(), names, sure) if name != "und" and s >= 0.5}
-    groups = components({d: r.text for d, r in docs.items()})
+    groups = components({d: r.text for d, r in docs.items()}, 80)
     docs = {d: r for d, r in docs.items() if groups[d] == d}
     flat = lambda t: " ".join(t.lower().split())
     items = [flat(r.text) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
-    # 120 comparable characters of an item in a row, or the whole of a shorter one, are a leak.
-    leaks = [i[a : a + 120] for i in items for a in range(0, max(1, len(i) - 119))]
+    # 50 comparable characters of an item in a row, or the whole of a shorter one, are a leak.
+    leaks = [i[a : a + 50] for i in items for a in range(0, max(1, len(i) - 49))]
     leaking = {d for d, r in docs.items() if any(p in flat(r.text) for p in leaks)}
     docs = {d: r for d, r in docs.items() if d not in leaking}
     size = lambda t: len(re.findall(r"[^\x20\x09-\x0D]+", t))
@@ -79,10 +79,21 @@ def test_mix_repeats_documents(spark, sf_dir):
     assert n["a"] == 27 and n["b"] == 63  # a stops at three times its size
 
 
+def test_mix_of_rows_without_ids(spark, sf_dir):
+    rows = [(None, f"ten words of one more text number {i} are here", "a", i) for i in range(300)]
+    rows += [(None, "one and the same text of ten words in it", "a", i) for i in range(200)] + [(i, "w " * 10, "b", i) for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, extra int").repartition(4)
+    mixed = stages.mix_sources(spark, docs, sf_dir)
+    words = {r.source: r["count"] * 10 for r in mixed.groupBy("source").count().collect()}
+    targets = {r.source: r.target for r in mixing.source_targets(docs.selectExpr("source", "10L AS size")).collect()}
+    assert all(abs(words[s] - targets[s]) <= 10 for s in "ab")
+    assert sorted(map(tuple, mixed.collect()), key=str) == sorted(map(tuple, stages.mix_sources(spark, docs, sf_dir).collect()), key=str)
+
+
 def test_registered(spark):
     import __spark_entry__ as entry
 
     names = set(entry.queries())
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in names) == 1
     assert "pipeline" in names and "op2_pareto_mix" in entry.oracle_sql()
