@@ -4,8 +4,10 @@ The pieces are those of a public subword vocabulary, which stays as it is.  For
 language every piece has a probability; a word has the probability of all its
 segmentations into pieces, summed by the forward algorithm, and a text that of its words
 (letter runs, lower case).  The piece probabilities are fitted by expectation
-maximisation over all segmentations, on a bounded sample of labelled rows; everything
-else covers all rows.  Scores of words that were met before are remembered by each
+maximisation over all segmentations, on a bounded sample of labelled texts; everything
+else covers all rows.  Words of one length are scored together; a run of more than
+`TOGETHER_CHARS` letters (a clause of a language without blanks) is scored alone, with values
+that are scaled on the way, as its probability is too small for a number.  Scores of words that were met before are remembered by each
 worker, up to a fixed number.
 
 Learning reads text and lang of rows whose crc32(doc_id as text) mod 5 is not 0 and whose
@@ -33,14 +35,14 @@ from pyspark.sql.window import Window
 from bloomledger.llm.common import CHUNK_BYTES, settle, table, with_small
 
 VOCABULARY = "piece_bpe_32k.model"
-SAMPLE_DOCS = 600  # labelled rows of each language that the fit reads
+SAMPLE_DOCS = 600  # labelled texts of each language that the fit reads
 ITERATIONS = 4
 FOLDS = 5
 UNDETERMINED = "und"
 LEAST_SCORE = 0.5  # below it no language is more likely than all others together
 
 WORD_START = "▁"
-MAX_WORD_CHARS = 40  # longer letter runs are scored in parts of this length
+TOGETHER_CHARS = 40  # a longer run could underflow: 1e-7 for each character
 UNKNOWN = 1e-7  # probability of a character that is no piece
 PRIOR = 0.02  # pseudo-count of every piece
 MEMO_WORDS = 300_000
@@ -53,13 +55,8 @@ _SCHEMA = "doc_id long, held_out boolean, lang_pred string, score double"
 
 
 def words_of(text: str) -> Counter:
-    """Letter runs in lower case, overlong ones in parts, with their counts."""
-    found = Counter(_LETTERS.findall(text.lower()))
-    for word in [w for w in found if len(w) > MAX_WORD_CHARS]:
-        n = found.pop(word)
-        for at in range(0, len(word), MAX_WORD_CHARS):
-            found[word[at : at + MAX_WORD_CHARS]] += n
-    return found
+    """Letter runs in lower case, with their counts."""
+    return Counter(_LETTERS.findall(text.lower()))
 
 
 def public_pieces(name: str) -> list[str]:
@@ -125,10 +122,28 @@ class Pieces:
                     yield start, end, rows, self.order[at[rows]]
 
 
+    def lattice(self, word: str, block: int = 1 << 16) -> np.ndarray:
+        """The piece of each length that begins at each place of one word, -1 for none: places x lengths."""
+        codes = _codes([word])[0] + np.uint64(1)
+        out = np.full((len(word), self.longest), -1, np.int32)
+        for first in range(0, len(word), block):
+            last = min(first + block, len(word))
+            h = np.zeros(last - first, np.uint64)
+            for size in range(1, self.longest + 1):
+                n = min(last, len(word) - size + 1) - first
+                if n <= 0:
+                    break
+                h = h[:n] * _BASE + codes[first + size - 1 : first + size - 1 + n]
+                at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
+                same = self.hashes[at] == h
+                out[first : first + n, size - 1][same] = self.order[at[same]]
+        return out
+
+
 def _marked_by_length(words: list[str], block: int = 20_000) -> Iterator[tuple[np.ndarray, list[str]]]:
     """Numbers and marked texts of words of one length, in blocks."""
     lengths = np.fromiter(map(len, words), np.int64, len(words))
-    for length in np.unique(lengths):
+    for length in np.unique(lengths[lengths <= TOGETHER_CHARS]):
         rows = np.flatnonzero(lengths == length)
         for at in range(0, len(rows), block):
             part = rows[at : at + block]
@@ -141,9 +156,58 @@ def forward(pieces: Pieces, probabilities: np.ndarray, words: list[str]) -> np.n
     for rows, marked in _marked_by_length(words):
         alpha = _forward(pieces, probabilities, marked)
         out[rows] = np.log(alpha[-1])
+    for row, word in enumerate(words):
+        if len(word) > TOGETHER_CHARS:
+            out[row] = _scan(pieces.lattice(WORD_START + word), probabilities)[-1]
     return out
 
 
+def _scan(lattice: np.ndarray, probabilities: np.ndarray, keep: bool = False) -> np.ndarray:
+    """Natural log of the summed probability of all segmentations of a word's beginnings.
+
+    With `keep` a row for each end, from 0 on; else only the last one.  The values of the
+    last places, as many as the longest piece has characters, are kept scaled to 1 at most.
+    """
+    n, longest = lattice.shape
+    recent = np.zeros((longest, probabilities.shape[1]))  # row j: the place j + 1 characters back
+    recent[0] = 1.0
+    scale = np.zeros(probabilities.shape[1])
+    out = np.zeros((n + 1 if keep else 1, probabilities.shape[1]))
+    back = np.arange(longest)
+    for end in range(1, n + 1):
+        reach = min(end, longest)
+        # The piece of j + 1 characters that ends here begins j + 1 characters back.
+        found = lattice[end - 1 - back[:reach], back[:reach]]
+        now = recent[0] * UNKNOWN
+        some = np.flatnonzero(found >= 0)
+        if len(some):
+            now = now + (recent[some] * probabilities[found[some]]).sum(axis=0)
+        recent[1:] = recent[:-1].copy()
+        recent[0] = now
+        top = recent.max(axis=0)
+        if (now < 1e-100).any():
+            recent /= top
+            scale += np.log(top)
+        if keep or end == n:
+            out[end if keep else 0] = np.log(recent[0]) + scale
+    return out
+
+
+def _long_expected(pieces: Pieces, probabilities: np.ndarray, word: str, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pieces of a long word and how often each is used, over all segmentations, for each language."""
+    lattice = pieces.lattice(WORD_START + word)
+    start, size = np.nonzero(lattice >= 0)
+    found = lattice[start, size]
+    n, longest = lattice.shape
+    # Backwards, the word is scanned from its end: pieces that begin there end here.
+    mirrored = np.full_like(lattice, -1)
+    end = start + size + 1
+    mirrored[n - end, size] = found
+    before, after = _scan(lattice, probabilities, keep=True), _scan(mirrored, probabilities, keep=True)
+    share = np.exp(before[start] + np.log(probabilities[found]) + after[n - end] - before[n]) * weight
+    return found, share
+
+
 def _forward(pieces: Pieces, probabilities: np.ndarray, marked: list[str], matches: list | None = None) -> np.ndarray:
     """alpha[end, word, language]: probability of the word's first `end` characters."""
     length, n_languages = len(marked[0]), probabilities.shape[1]
@@ -165,6 +229,7 @@ def fit(pieces: Pieces, words: list[str], counts: np.ndarray, iterations: int =
     """Piece probabilities by language (pieces x languages) from counts (words x languages)."""
     n_languages = counts.shape[1]
     blocks = [(rows, marked, list(pieces.matches(marked))) for rows, marked in _marked_by_length(words)]
+    long = [row for row, word in enumerate(words) if len(word) > TOGETHER_CHARS]
     probabilities = np.full((len(pieces.texts), n_languages), 1.0 / len(pieces.texts))
     for _ in range(iterations):
         expected = np.zeros_like(probabilities)
@@ -184,6 +249,9 @@ def fit(pieces: Pieces, words: list[str], counts: np.ndarray, iterations: int =
                 share = alpha[start, at] * probabilities[found] * beta[end, at] * weight[at]
                 for k in range(n_languages):
                     expected[:, k] += np.bincount(found, share[:, k], len(pieces.texts))
+        for row in long:
+            found, share = _long_expected(pieces, probabilities, words[row], counts[row])
+            np.add.at(expected, found, share)
         expected += PRIOR
         probabilities = expected / expected.sum(axis=0)
     return probabilities
@@ -252,23 +320,21 @@ def fold_of(doc_id: Column, folds: int = FOLDS) -> Column:
 
 
 def learn(docs: DataFrame, vocabulary: str = VOCABULARY, sample_docs: int = SAMPLE_DOCS) -> Model:
-    """Piece probabilities from at most `sample_docs` labelled rows of each language."""
+    """Piece probabilities from at most `sample_docs` labelled texts of each language."""
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"), F.col("lang").cast("string")
     ).filter((fold_of(F.col("doc_id")) != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    # The rows with the least hashes are the sample.  Their share is known from the counts, so
-    # only about four times as many rows are put in order, however many there are.
-    ids = rows.select("doc_id", "lang", F.pmod(F.xxhash64("doc_id"), F.lit(_HASH_RANGE)).alias("hash"))
+    # Distinct (id, text) with the least hashes are the sample.  Their share is known from the
+    # counts, so only about four times as many are put in order, however many there are.
+    rows = rows.withColumn("hash", F.xxhash64("doc_id", "text"))
+    ids = settle(rows.select("lang", "hash").distinct())
     sizes = settle(ids.groupBy("lang").agg(F.count("*").alias("n_rows")))
+    place = F.pmod("hash", F.lit(_HASH_RANGE))
     near = with_small(ids, sizes.withColumnRenamed("lang", "of"), F.col("lang") == F.col("of"))
-    near = near.filter(F.col("hash") < F.lit(4.0 * sample_docs * _HASH_RANGE) / F.col("n_rows"))
-    first = Window.partitionBy("lang").orderBy("hash", "doc_id")
-    chosen = (
-        near.select("doc_id", "lang", F.row_number().over(first).alias("place"))
-        .filter(F.col("place") <= sample_docs)
-        .select("doc_id", "lang")
-        .distinct()
-    )
+    near = near.filter(place < F.lit(4.0 * sample_docs * _HASH_RANGE) / F.col("n_rows"))
+    first = Window.partitionBy("lang").orderBy(place, "hash")
+    chosen = near.select(F.col("lang").alias("of"), F.col("hash").alias("of_hash"), F.row_number().over(first).alias("place"))
+    chosen = settle(chosen.filter(F.col("place") <= sample_docs).select("of", "of_hash"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -281,8 +347,8 @@ def learn(docs: DataFrame, vocabulary: str = VOCABULARY, sample_docs: int = SAMP
                 names=["lang", "word", "n"],
             )
 
-    # The ids chosen are bounded by the sample, so they are broadcast.
-    sample = rows.join(F.broadcast(chosen), ["doc_id", "lang"]).select("lang", "text")
+    sample = with_small(rows, chosen, (F.col("lang") == F.col("of")) & (F.col("hash") == F.col("of_hash")), "left_semi")
+    sample = sample.dropDuplicates(["lang", "hash"]).select("lang", "text")
     counted = sample.mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     found = counted.toArrow().sort_by([("lang", "ascending"), ("word", "ascending")])
     languages = sorted(set(found["lang"].to_pylist()))

@@ -31,6 +31,47 @@ def test_forward_sums_all_segmentations():
             assert got[i, k] == pytest.approx(math.log(want))
 
 
+def test_long_runs_are_summed_whole():
+    """Against the plain sum in exact fractions, far below the smallest float."""
+    from fractions import Fraction
+
+    texts = ["▁", "▁a", "a", "b", "ab", "ba", "▁ab", "abb", "é", "bbbb"]
+    pieces = li.Pieces(texts)
+    rng = np.random.default_rng(3)
+    p = rng.random((len(texts), 2)) * 0.1
+    letters = np.array(list("abé漢"))
+    for length in (39, 41, 42, 80, 200, 1000):
+        word = "".join(rng.choice(letters, length))
+        marked = "▁" + word
+        got = li.forward(pieces, p, [word, "ab"])[0]
+        for k in range(2):
+            chance = {t: Fraction(float(x)) for t, x in zip(texts, p[:, k])}
+            sums = [Fraction(1)]
+            for end in range(1, len(marked) + 1):
+                total = sums[end - 1] * Fraction(li.UNKNOWN)
+                for size in range(1, min(end, 4) + 1):
+                    total += sums[end - size] * chance.get(marked[end - size : end], 0)
+                sums.append(total)
+            want = math.log(sums[-1].numerator) - math.log(sums[-1].denominator)
+            assert got[k] == pytest.approx(want, rel=1e-9)
+
+
+def test_long_words_are_fitted_like_short_ones(monkeypatch):
+    pieces = li.Pieces(["▁", "a", "b", "ab", "▁ab", "ba", "é"])
+    words = ["ab", "abab", "babaé", "ébabab" * 4, "b" * 20]
+    counts = np.array([[9, 0], [5, 1], [0, 7], [1, 6], [2, 2]], float)
+    together = li.fit(pieces, words, counts)
+    monkeypatch.setattr(li, "TOGETHER_CHARS", 3)
+    assert np.allclose(li.fit(pieces, words, counts), together, rtol=1e-9)
+
+
+def test_sample_is_taken_by_text_as_well(spark):
+    """A language whose rows share one id is learned; repeated rows are one."""
+    rows = [(1, f"alpha{i % 7} beta gamma delta{i}", "aa") for i in range(3000)] + [(2, "une phrase", "bb")] * 3000
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert li.learn(docs, sample_docs=5).languages == ["aa", "bb"]
+
+
 def test_fit_raises_the_likelihood():
     pieces = li.Pieces(["▁", "a", "b", "ab", "▁ab", "ba"])
     words = ["ab", "abab", "ba", "bab"]
