@@ -4,12 +4,14 @@ Base spans are the leftmost non-overlapping matches of four patterns with a chec
 random field then labels the tokens near digits and @ signs: a token's potentials depend on
 the shapes of it and its neighbours, neighbouring tokens share a transition potential, and
 distant tokens of a document that carry the same digits or address share a skip potential, so
-that evidence at one mention reaches the others.  Marginals come from loopy message passing
-over all documents of a batch at once.  Runs of tokens that are labelled with one kind, are
+that evidence at one mention reaches the others.  Two mentions share it directly, more of them
+with one hub of their own, so all are two steps apart however many there are.  Marginals come
+from loopy message passing over all documents of a batch at once, until messages settle.  Runs of tokens that are labelled with one kind, are
 sure enough and plausible become added spans; base spans always stay.
 
 The weights are fitted by pseudo-likelihood on the base labels of at most `SAMPLE_DOCS`
-documents that hold a digit or an @; all texts are searched.
+distinct documents that hold a digit or an @, a hub taking the label that most of its mentions
+have; all texts are searched.  A token's outline counts whole; long ones by a checksum.
 
 Null text is empty and has no spans.  Rows pass one by one: repeated rows give repeated
 results and an empty table an empty one.  Work is linear in a text's length, whatever it
@@ -29,13 +31,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bloomledger.llm.common import table
+from bloomledger.llm.common import settle, table, with_small
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE_DOCS = 1200
 FEATURES = 1 << 14
 SURE = 0.9
-ROUNDS = 12  # of message passing
+ROUNDS = 200  # of message passing, at most
+SETTLED = 1e-3  # change of a message (natural log) below which they rest
 CONTEXT = 2  # tokens beside one with a digit or @ that the field covers
 BATCH_TOKENS = 50_000
 
@@ -108,7 +111,6 @@ def written(spans: list[Span]) -> str:
 def shape(core: str) -> str:
     """A token's outline: runs of letters, of digits by their length, and other characters."""
     out, at = [], 0
-    core = core[:64]
     while at < len(core):
         c, end = core[at], at + 1
         if c.isdigit():
@@ -122,7 +124,8 @@ def shape(core: str) -> str:
         else:
             out.append(c)
         at = end
-    return "".join(out[:16])
+    whole = "".join(out)
+    return whole if len(out) <= 16 else f"{whole[:16]}~{zlib.crc32(whole.encode()):08x}"
 
 
 def _facts(core: str) -> str:
@@ -157,6 +160,7 @@ class Tokens:
         self.spans: list[tuple[int, int, int]] = []  # document, start and end of the core
         self.chain: list[tuple[int, int]] = []
         self.skip: list[tuple[int, int]] = []
+        self.hubs: list[list[int]] = []  # mentions of each hub
         self._known: dict[str, tuple[str, str]] = {}
 
     def _look(self, core: str) -> tuple[str, str]:
@@ -173,7 +177,7 @@ class Tokens:
             found.append((core, start, start + len(core)))
         marked = [i for i, (core, _, _) in enumerate(found) if _CANDIDATE.search(core)]
         covered = sorted({j for i in marked for j in range(max(i - CONTEXT, 0), min(i + CONTEXT + 1, len(found)))})
-        last: dict[str, int] = {}
+        mentions: dict[str, list[int]] = {}
         previous = -2
         for i in covered:
             core, start, end = found[i]
@@ -189,13 +193,17 @@ class Tokens:
             previous = i
             key = mention_key(core) if facts else None
             if key is not None:
-                # Each mention is linked with the one before, so a key with n mentions has n - 1 edges.
-                if key in last and last[key] != node - 1:
-                    self.skip.append((last[key], node))
-                last[key] = node
+                mentions.setdefault(key, []).append(node)
+        for nodes in mentions.values():
+            if len(nodes) > 2:
+                self.hubs.append(nodes)
+            elif len(nodes) == 2 and nodes[1] != nodes[0] + 1:  # neighbours are linked already
+                self.skip.append((nodes[0], nodes[1]))
 
     def arrays(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        pairs = [np.array(e, np.int64).reshape(-1, 2) for e in (self.chain, self.skip)]
+        """Features of the tokens, chain and skip edges; hubs are numbered behind the tokens."""
+        skip = self.skip + [(node, len(self.features) + hub) for hub, nodes in enumerate(self.hubs) for node in nodes]
+        pairs = [np.array(e, np.int64).reshape(-1, 2) for e in (self.chain, skip)]
         return np.array(self.features, np.int64).reshape(len(self.features), _NAMES), *pairs
 
     def labels(self, spans: list[list[Span]]) -> np.ndarray:
@@ -229,18 +237,23 @@ def fit(texts: list[str], steps: int = 200, decay: float = 1e-4) -> Weights:
         return weights
     label = tokens.labels(spans)
     truth = np.eye(_LABELS)[label]
+    hubs = [np.bincount(label[nodes], minlength=_LABELS).argmax() for nodes in tokens.hubs]
+    label = np.concatenate([label, np.array(hubs, label.dtype)])
     squares = [np.full_like(w, 1e-8) for w in weights]
     for _ in range(steps):
-        score = weights[0][features].sum(axis=1)
+        score = np.zeros((len(label), _LABELS))
+        score[:n] = weights[0][features].sum(axis=1)
         for theta, edges in ((weights[1], chain), (weights[2], skip)):
             np.add.at(score, edges[:, 1], theta[label[edges[:, 0]]])
             np.add.at(score, edges[:, 0], theta.T[label[edges[:, 1]]])
+        score = score[:n]  # hubs are given, they are not explained
         score -= score.max(axis=1, keepdims=True)
         chance = np.exp(score)
         chance /= chance.sum(axis=1, keepdims=True)
-        miss = (truth - chance) / n
+        miss = np.zeros((len(label), _LABELS))
+        miss[:n] = (truth - chance) / n
         slopes = [
-            np.stack([np.bincount(features.ravel(), np.repeat(miss[:, k], features.shape[1]), FEATURES) for k in range(_LABELS)], axis=1)
+            np.stack([np.bincount(features.ravel(), np.repeat(miss[:n, k], features.shape[1]), FEATURES) for k in range(_LABELS)], axis=1)
         ]
         for edges in (chain, skip):
             slope = np.zeros((_LABELS, _LABELS))
@@ -257,8 +270,13 @@ def fit(texts: list[str], steps: int = 200, decay: float = 1e-4) -> Weights:
 
 
 def marginals(weights: Weights, features: np.ndarray, chain: np.ndarray, skip: np.ndarray) -> np.ndarray:
-    """Label probabilities of each token by damped loopy message passing."""
-    own = weights[0][features].sum(axis=1)
+    """Label probabilities of each token by damped loopy message passing.
+
+    Nodes behind the tokens, which only skip edges name, are hubs without features.
+    """
+    n = len(features)
+    own = np.zeros((max(n, int(skip.max(initial=-1)) + 1), _LABELS))
+    own[:n] = weights[0][features].sum(axis=1)
     source = np.concatenate([chain[:, 0], chain[:, 1], skip[:, 0], skip[:, 1]])
     target = np.concatenate([chain[:, 1], chain[:, 0], skip[:, 1], skip[:, 0]])
     c, s = len(chain), len(skip)
@@ -276,8 +294,11 @@ def marginals(weights: Weights, features: np.ndarray, chain: np.ndarray, skip: n
         for part, theta in factors:
             fresh[part] = np.log(np.exp(sent[part]) @ np.exp(theta) + 1e-300)
         fresh -= fresh.max(axis=1, keepdims=True)
+        change = np.abs(fresh - message).max()
         message = 0.5 * message + 0.5 * fresh
-    belief = gathered()
+        if change < SETTLED:
+            break
+    belief = gathered()[:n]
     belief = np.exp(belief - belief.max(axis=1, keepdims=True))
     return belief / belief.sum(axis=1, keepdims=True)
 
@@ -330,15 +351,17 @@ def _decode(weights: Weights, tokens: Tokens, texts: list[str], base: list[list[
 def learn(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Weights:
     """Weights from a bounded sample of documents, the same on every run.
 
-    The documents with the least hashes are the sample.  Their share follows from a count, so
-    only about four times as many texts are put in order.
+    The distinct (id, text) with the least hashes are the sample.  Their share follows from a
+    count, so only about four times as many are put in order.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = rows.filter(F.col("text").rlike("[0-9@]"))
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40))
-    near = rows.filter(place < F.lit(4 * sample_docs * (1 << 40) // max(rows.count(), 1)))
-    sample = near.orderBy(place, "doc_id", "text").limit(sample_docs)
-    return fit(sample.select("text").toArrow()["text"].to_pylist())
+    rows = rows.filter(F.col("text").rlike("[0-9@]")).withColumn("hash", F.xxhash64("doc_id", "text"))
+    ids = settle(rows.select("hash").distinct())
+    place = F.pmod("hash", F.lit(1 << 40))
+    near = ids.filter(place < F.lit(4 * sample_docs * (1 << 40) // max(ids.count(), 1)))
+    chosen = settle(near.orderBy(place, "hash").limit(sample_docs).withColumnRenamed("hash", "chosen"))
+    sample = with_small(rows, chosen, F.col("hash") == F.col("chosen"), "left_semi").dropDuplicates(["hash"])
+    return fit(sample.orderBy(place, "hash").select("text").toArrow()["text"].to_pylist())
 
 
 _SCHEMA = (

@@ -58,11 +58,11 @@ def test_message_passing_is_exact_on_a_tree():
         for i, y in enumerate(labels):
             want[i, y] += np.exp(score)
     want /= want.sum(axis=1, keepdims=True)
-    saved, pii.ROUNDS = pii.ROUNDS, 80
+    saved, pii.SETTLED = pii.SETTLED, 1e-9
     try:
         assert np.allclose(pii.marginals(weights, features, chain, skip), want, atol=1e-6)
     finally:
-        pii.ROUNDS = saved
+        pii.SETTLED = saved
 
 
 def test_repeated_mentions_share_evidence():
@@ -79,6 +79,40 @@ def test_repeated_mentions_share_evidence():
     assert alone < 0.25 < 0.5 < linked
 
 
+def test_hub_is_summed_over():
+    """A star of three mentions and a hub without features, against all labellings."""
+    rng = np.random.default_rng(2)
+    weights = (rng.normal(size=(8, 5)), rng.normal(size=(5, 5)), (lambda s: s + s.T)(rng.normal(size=(5, 5))))
+    features = rng.integers(0, 8, (3, 2))
+    chain, skip = np.zeros((0, 2), int), np.array([[0, 3], [1, 3], [2, 3]])
+    own = weights[0][features].sum(axis=1)
+    want = np.zeros((3, 5))
+    for labels in itertools.product(range(5), repeat=4):
+        score = sum(own[i, labels[i]] for i in range(3)) + sum(weights[2][labels[a], labels[b]] for a, b in skip)
+        for i in range(3):
+            want[i, labels[i]] += np.exp(score)
+    want /= want.sum(axis=1, keepdims=True)
+    assert np.allclose(pii.marginals(weights, features, chain, skip), want, atol=1e-2)
+
+
+def test_fifty_mentions_agree():
+    tokens = pii.Tokens()
+    tokens.add(0, "call +1 (843) 555-7672 now " + " ".join(f"{'filler ' * 7}then 5557672 or" for _ in range(49)))
+    features, chain, skip = tokens.arrays()
+    assert len(tokens.hubs) == 1 and len(skip) == 50 and len(tokens.hubs[0]) == 50
+    weights = (np.zeros((pii.FEATURES, 5)), np.zeros((5, 5)), 2 * np.eye(5))
+    first = tokens.hubs[0][0]
+    weights[0][next(f for f in features[first] if f not in features[tokens.hubs[0][1]]), 3] = 6.0
+    chance = pii.marginals(weights, features, chain, skip)[tokens.hubs[0]]
+    assert set(chance.argmax(axis=1)) == {3} and chance[1:, 3].min() > 0.3
+
+
+def test_outlines_are_whole():
+    one, other = "a1" * 40 + "x", "a1" * 40 + "9"
+    assert pii.shape(one) != pii.shape(other) and len(pii.shape(one)) < 40
+    assert pii.shape("555-7672") == "93-94" and pii.shape("z" * 500) == "a"
+
+
 def test_field_adds_what_a_pattern_swallowed(spark, sf_dir):
     texts = [f"phone +1 ({200 + i}) 555-{1000 + i} and ip 10.0.{i % 200}.7 words" for i in range(300)]
     weights = pii.fit(texts)
