@@ -9,8 +9,9 @@ linked; a link is best if its count is the highest of its A id.
 1. Documents are shuffled by their full text; of equal texts one is left, with its multiplicity
    (equal ones meet inside tasks first, so a hot text is not gathered).
 2. Each distinct text is encoded and aligned.  Both tokenizers begin a new token at a blank
-   between two characters that are not white space, so the parts between such blanks are
-   encoded and aligned on their own, and the worker remembers those it met.  What a text
+   between two characters that are not white space, so the parts between such blanks can be
+   aligned on their own, and the worker remembers those it met.  New parts are joined by blanks
+   again, encoded in batches, and aligned by the sorted ends of their tokens.  What a text
    gives, its measures and its distinct pairs with their numbers, is written as a table.
 3. Counts of pairs are sums of multiplicities; there are at most as many as pairs of ids.
 4. The counts of the commonest pairs (`COMMON` at most) are broadcast to the texts, those of
@@ -42,7 +43,8 @@ TOKENIZER_A = "byte_bpe_50k.json"
 TOKENIZER_B = "piece_bpe_32k.model"
 COMMON = 1 << 20  # pairs whose counts are broadcast (13 MB)
 PART_CHARS = 1 << 19  # characters encoded and aligned at a time
-MEMO_PARTS = 200_000  # parts that a worker remembers (about 60 MB)
+JOINED_CHARS = 1 << 16  # characters of new parts that are encoded as one text
+MEMO_PARTS = 400_000  # parts that a worker remembers (about 120 MB)
 
 _B_BITS = 15  # a pair of ids is one number below 2^31
 _SPACE = "▁"
@@ -86,6 +88,7 @@ class ByteLevel:
         self.bytes = [b""] * (max(vocabulary.values()) + 1)
         for token, i in vocabulary.items():
             self.bytes[i] = bytes(byte[c] for c in token) if all(c in byte for c in token) else token.encode()
+        self.lengths = np.array([len(b) for b in self.bytes], np.int64)
 
     def encode(self, parts: list[str]) -> list[list[int]]:
         return [e.ids for e in self._tokenizer.encode_batch_fast([" " + p for p in parts], add_special_tokens=False)]
@@ -104,6 +107,7 @@ class Pieces:
             self.bytes.append(bytes([int(piece[3:5], 16)]) if model.is_byte(i) else piece.replace(_SPACE, " ").encode())
             # Pieces that go on behind a blank would join what is cut there.
             self.splits &= _SPACE not in piece.lstrip(_SPACE)
+        self.lengths = np.array([len(b) for b in self.bytes], np.int64)
 
     def encode(self, parts: list[str]) -> list[list[int]]:
         return self._model.encode(parts, num_threads=1)
@@ -135,6 +139,10 @@ def align(a: list[int], b: list[int], bytes_a: list[bytes], bytes_b: list[bytes]
 # --- texts ------------------------------------------------------------------------------
 
 
+def _blank(character: str) -> bool:
+    return character.isspace() or character == "\u180e"
+
+
 def _grown(array: np.ndarray, size: int) -> np.ndarray:
     return array if size <= len(array) else np.concatenate([array, np.zeros(max(size, 2 * len(array)) - len(array), array.dtype)])
 
@@ -157,6 +165,11 @@ class Aligner:
 
     def __init__(self, a: str = TOKENIZER_A, b: str = TOKENIZER_B):
         self._a, self._b = ByteLevel(a), Pieces(b)
+        # How an id is written inside a group's side and at its end.
+        self._written = [
+            [np.array([f"{i}{mark}" for i in range(len(side.bytes))], object) for mark in marks]
+            for side, marks in ((self._a, ",|"), (self._b, ",;"))
+        ]
         if len(self._a.bytes) << _B_BITS > 1 << 31 or len(self._b.bytes) > 1 << _B_BITS:
             raise ValueError("the ids of a pair do not fit into 31 bits")
         self._forget()
@@ -169,11 +182,27 @@ class Aligner:
         self._n_links = 0
 
     def _learn(self, parts: list[str]) -> None:
-        """Encodes and aligns new parts.  A part that is not given back has -1 tokens."""
+        """Encodes and aligns new parts."""
         self._sizes = _grown_rows(self._sizes, len(self._groups) + len(parts) + 1)
-        both = zip(parts, self._a.encode(parts), self._b.encode(parts))
+        joined: list[str] = []
+        size = 0
+        for part in parts:
+            # White space at an end (of a whole text) would make a joining blank unsafe.
+            if not self._b.splits or _blank(part[0]) or _blank(part[-1]):
+                self._learn_apart([part])
+                continue
+            joined.append(part)
+            size += len(part)
+            if size >= JOINED_CHARS:
+                self._learn_joined(joined)
+                joined, size = [], 0
+        if joined:
+            self._learn_joined(joined)
+
+    def _learn_apart(self, parts: list[str]) -> None:
+        """Parts that are encoded one by one.  One that is not given back has -1 tokens."""
         bytes_a, bytes_b = self._a.bytes, self._b.bytes
-        for part, a, b in both:
+        for part, a, b in zip(parts, self._a.encode(parts), self._b.encode(parts)):
             number = self._number[part] = len(self._groups)
             whole = b" " + part.encode()
             if b"".join([bytes_a[i] for i in a]) != whole or b"".join([bytes_b[i] for i in b]) != whole:
@@ -183,11 +212,52 @@ class Aligner:
                 groups, n_groups, links = align(a, b, bytes_a, bytes_b)
                 self._groups.append(groups)
                 self._sizes[number, :3] = len(a), len(b), n_groups
-                self._links = _grown(self._links, self._n_links + len(links))
-                self._links[self._n_links : self._n_links + len(links)] = links
-                self._n_links += len(links)
+                self._add_links(np.array(links, np.int32))
             self._sizes[number + 1, 3] = self._n_links
 
+    def _add_links(self, links: np.ndarray) -> None:
+        self._links = _grown(self._links, self._n_links + len(links))
+        self._links[self._n_links : self._n_links + len(links)] = links
+        self._n_links += len(links)
+
+    def _learn_joined(self, parts: list[str]) -> None:
+        """Parts that are encoded as one text; all ends of tokens are in one order then."""
+        text = " ".join(parts)
+        whole = b" " + text.encode()
+        ids = [np.array(side.encode([text])[0], np.int64) for side in (self._a, self._b)]
+        ends = [np.cumsum(side.lengths[i]) for side, i in zip((self._a, self._b), ids)]
+        part_ends = np.cumsum([1 + len(p.encode()) for p in parts])
+        for side, own, end in zip((self._a, self._b), ids, ends):
+            at = np.minimum(np.searchsorted(end, part_ends), len(end) - 1)
+            if not (end[at] == part_ends).all() or b"".join([side.bytes[i] for i in own.tolist()]) != whole:
+                self._learn_apart(parts)  # one of them is not given back
+                return
+        (a, b), (ends_a, ends_b) = ids, ends
+        # Between two ends that follow each other lies one token of each: a link.
+        every = np.union1d(ends_a, ends_b)
+        links = a[np.searchsorted(ends_a, every)] << _B_BITS | b[np.searchsorted(ends_b, every)]
+        both = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        group_a, group_b = np.searchsorted(both, ends_a), np.searchsorted(both, ends_b)
+        last_a, last_b = ends_a == both[group_a], ends_b == both[group_b]
+        # Written in the order of groups, A before B.
+        flat = np.empty(len(a) + len(b), object)
+        for own, last, other, written in (
+            (a, last_a, np.searchsorted(group_b, group_a, side="left"), self._written[0]),
+            (b, last_b, np.searchsorted(group_a, group_b, side="right"), self._written[1]),
+        ):
+            flat[np.arange(len(own)) + other] = np.where(last, written[1][own], written[0][own])
+        counts = [np.searchsorted(e, part_ends, side="right") for e in (ends_a, ends_b, both, every)]
+        first = len(self._groups)
+        rows = slice(first, first + len(parts))
+        self._sizes[rows, :3] = np.stack([np.diff(c, prepend=0) for c in counts[:3]], axis=1)
+        self._sizes[first + 1 : first + len(parts) + 1, 3] = self._n_links + counts[3]
+        self._add_links(links.astype(np.int32))
+        words, begin = flat.tolist(), 0
+        for part, end in zip(parts, (counts[0] + counts[1]).tolist()):
+            self._number[part] = len(self._groups)
+            self._groups.append("".join(words[begin:end])[:-1])
+            begin = end
+
     def measure(self, texts: list[str]) -> list[Measures]:
         """Measures of texts that are not empty."""
         out: list[Measures] = []
