@@ -66,9 +66,9 @@ def stored(frame: DataFrame) -> DataFrame:
 
 
 def digest_of(text: str | Column = "text") -> Column:
-    """What tells the texts of rows with one id apart; null counts as empty."""
+    """What tells the texts of rows with one id apart; empty for null."""
     text = F.col(text) if isinstance(text, str) else text
-    return F.md5(F.coalesce(text.cast("string"), F.lit("")).cast("binary"))
+    return F.coalesce(F.md5(text.cast("string").cast("binary")), F.lit(""))
 
 
 class RowKeys:

@@ -61,7 +61,7 @@ def test_one_document_of_each_group_stays(spark, sf_dir):
 def test_rows_of_one_id_are_judged_by_their_own_text(spark, sf_dir):
     leak = spark.read.parquet(f"{sf_dir}/benchmark.parquet").first().text
     texts = ["first clean text of some seven words", "another clean one with quite other words", "FIRST clean text of some seven words"]
-    rows = [(i, t) for i in (None, 3) for t in (f"{i} {texts[0]}", f"{i} {texts[1]}", f"{i} {texts[2]}", f"{i} {texts[1]}", f"{i} before {leak} {i} behind")]
+    rows = [(i, t) for i in (None, 3) for t in (f"{i} {texts[0]}", f"{i} {texts[1]}", f"{i} {texts[2]}", f"{i} {texts[1]}", f"{i} before {leak} behind {' '.join(f'{i}w{j}' for j in range(20))}")]
     rows += [(4, f"None {texts[1]}"), (None, None), (None, "")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     lower = lambda out: sorted((r.doc_id or 0, (r.text or "").lower()) for r in out.collect())
