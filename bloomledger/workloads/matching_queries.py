@@ -10,6 +10,7 @@ from bloomledger.operators.adjudication import MatchRules, adjudicate, judge
 from bloomledger.operators.similarity import top_k
 from bloomledger.plans import matching as mt
 from bloomledger.plans.catalog import build_catalog
+from bloomledger.plans.incremental import answered, decide_new, refresh_candidates
 from bloomledger.workloads.common import Query, table
 from bloomledger.workloads.text_queries import sql_catalog_name, sql_phrase
 
@@ -211,6 +212,33 @@ def match_candidates(spark, sf_dir):
 MATCH_CANDIDATES = f"WITH {_CANDIDATES} SELECT * FROM c"
 
 
+def match_incremental(spark, sf_dir):
+    """The candidates of all names, brought up to date from a run before names came and went.
+
+    Then, sellers had no small parts and two names that are gone; the catalog had no large parts,
+    and names that are gone stood among the candidates of a third of all names.
+    """
+    size, sellers = F.col("p_size"), table(spark, sf_dir, "part")
+    earlier = sellers.filter(size > 10).select(F.expr(_SELLER_NAME).alias("product_name"))
+    earlier = earlier.union(spark.createDataFrame([("Gone Rose",), ("Gone Lily",)], "product_name string"))
+    old_names = sellers.filter(size <= 40).select(F.expr(_OWN_NAME).alias("product_name"))
+    gone = sellers.filter("p_partkey % 3 = 0").select(F.expr(f"({_SELLER_NAME}) || ' Mini'").alias("product_name"))
+    old_queries, old_catalog = mt.vectorise(earlier), mt.vectorise(old_names.union(gone))
+    before = mt.candidates(old_queries, old_catalog)
+    queries, catalog = mt.vectorise(seller_products(spark, sf_dir)), mt.vectorise(own_catalog(spark, sf_dir))
+    return refresh_candidates(before, old_queries, old_catalog, queries, catalog)
+
+
+def kept_decisions(spark, sf_dir):
+    """Decisions of all names, most of them kept from a run in which a tenth of the names had fewer candidates."""
+    found = match_candidates(spark, sf_dir)
+    shorter = found.filter(F.col("rank") <= F.when(F.length("query_name") % 10 == 0, 5).otherwise(10))
+    none = spark.createDataFrame([], "digest string, matched_name string")
+    known = decide_new(shorter, none, _RULES)[1]
+    asked, new = decide_new(found, known, _RULES)
+    return answered(asked, known.unionByName(new))
+
+
 def candidate_list(spark, sf_dir):
     return mt.candidate_lists(match_candidates(spark, sf_dir))
 
@@ -313,6 +341,8 @@ QUERIES = {
     "catalog_build": Query(catalog_build, CATALOG_BUILD),
     "vectorise_names": Query(vectorise_names, VECTORISE_NAMES),
     "match_candidates": Query(match_candidates, MATCH_CANDIDATES),
+    "match_incremental": Query(match_incremental, MATCH_CANDIDATES),
+    "kept_decisions": Query(kept_decisions, MATCH_DECISION),
     "candidate_list": Query(candidate_list, CANDIDATE_LIST),
     "match_judgement": Query(match_judgement, MATCH_JUDGEMENT),
     "match_decision": Query(match_decision, MATCH_DECISION),
