@@ -186,13 +186,16 @@ _PART_NAME = """p_name || CASE p_partkey % 5
   WHEN 3 THEN ' ' || p_size || '-' || (p_size + 5) || ' x10' ELSE '  Rd ' END"""
 _CELLS_REST = "<td></td><td>.</td><td>.</td><td><a>$3.00</a></td></tr>"
 _HIDDEN_ROW = f"<tr><td>9</td><td>hidden</td><td><a>hidden</a></td><td>Box</td><td>1 @ 0.01</td>{_CELLS_REST}"
+# Every fourth page has a table in a cell, with cells that end nowhere; another fourth a form in the form.
+_INNER_TABLE = "' || CASE p_partkey % 4 WHEN 1 THEN '<table><tr><td>in<td>ner</table>' ELSE '' END || '"
+_INNER_FORM = "' || CASE p_partkey % 4 WHEN 2 THEN '<form>' ELSE '' END || '"
 _PART_PAGE = f"""'<html><body><div data-id="PageText"><form></form><form><table>{_HIDDEN_ROW}</table></form></div>
 <div class="x" id="PageText"><div><p>Welcome</p></div><form><table><tr><td>search</td></tr></table></form>
-<form method=post><table width=9><tbody><tr><th>No</th></tr>
+<form method=post>{_INNER_FORM}<table width=9><tbody><tr><th>No</th></tr>
 <tr><td>.</td><td>Item ##</td><td>Name</td><td>Sold as</td><td>Offer</td><td>.</td><td>.</td><td>.</td><td>Price</td></tr>
 <TR class="a"><td>1<td> <b>' || p_partkey || '</b> </td><td><a href="/p"> ' || {_PART_NAME} || ' </a><br>Origin: ' || p_brand
 || ' </td><td>Box &amp;&nbsp;Bag&#39;s</td><td>' || p_size || ' @ $' || {_PART_PRICE} || ' <i>' || (p_size * 2) || '</i> @ ' || ({_PART_PRICE} * 2 - p_partkey % 2)
-|| '</td>{_CELLS_REST}<tr><td>short</td></tr><!-- <tr><td>no</td></tr> {_HIDDEN_ROW} -->
+|| '</td>{_CELLS_REST.replace('</td></tr>', _INNER_TABLE + '</td></tr>')}<tr><td>short</td></tr><!-- <tr><td>no</td></tr> {_HIDDEN_ROW} -->
 <tr><td>2</td><td>' || p_partkey || '</td><td><a>again</a></td><td>Box</td><td>1 @ 0.01</td>{_CELLS_REST}
 <tr><td>3</td><td>' || p_partkey || '-B</td><td>no link</td><td></td><td>call</td>{_CELLS_REST}
 </tbody><tbody>{_HIDDEN_ROW}</tbody></table><table>{_HIDDEN_ROW}</table></form></div>
