@@ -31,18 +31,27 @@ def replace_partitions(rows: DataFrame, path: str, by: list[str]) -> None:
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
-def append_prices(products: DataFrame, table: str, root: str) -> bool:
+def append_prices(products: DataFrame, table: str, root: str, day: str | None = None) -> bool:
     """Add a day to `root/<table>` (Parquet by `created_at`); False if there is no row.
 
-    A day that the table already has is replaced, so a run can be repeated.
+    A day that the table already has is replaced, so a run can be repeated; with `day`
+    given, a run without rows empties that day.
     """
     chosen = export_columns(products, table)
+    path = f"{root.rstrip('/')}/{table.lower()}"
     if chosen.isEmpty():
+        if day is not None:
+            _drop_partition(products.sparkSession, f"{path}/created_at={day}")
         return False
-    replace_partitions(chosen, f"{root.rstrip('/')}/{table.lower()}", ["created_at"])
+    replace_partitions(chosen, path, ["created_at"])
     return True
 
 
+def _drop_partition(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def replace_mapping(mapping: DataFrame, path: str) -> None:
     """Make this the mapping table.
 
