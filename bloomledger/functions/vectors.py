@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bloomledger.functions.text import collapse_blanks
@@ -69,3 +69,27 @@ def cosine(a: Column, b: Column) -> Column:
     return F.coalesce(
         F.try_divide(dot(a, b), F.sqrt(dot(a, a)) * F.sqrt(dot(b, b))), F.lit(0.0)
     )
+
+
+def slot_weights(vectors: DataFrame, vector: str = "vector") -> DataFrame:
+    """One row: `n_names`, and `weights`, what each slot counts by how few names use it.
+
+    weight = ln((1 + names) / (1 + names that use the slot)) + 1.  Fitted on the catalog's counts
+    and stored with a version, it is joined when vectors are used; the counts stay as they are
+    when the catalog grows.  Uses are partial sums of one number a slot, so nothing is gathered.
+    """
+    named = vectors.filter(F.col(vector).isNotNull())
+    slots = named.select(F.posexplode(vector).alias("slot", "n"))
+    used = slots.groupBy("slot").agg(F.count_if(F.col("n") != 0).alias("uses"), F.count("*").alias("names"))
+    weight = F.log((1 + F.col("names")) / (1 + F.col("uses"))) + 1
+    ordered = F.array_sort(F.collect_list(F.struct("slot", weight.alias("weight"))))  # as many as a vector has slots
+    return used.agg(F.coalesce(F.max("names"), F.lit(0)).alias("n_names"), F.transform(ordered, lambda s: s["weight"]).alias("weights"))
+
+
+def weighted(vectors: DataFrame, weights: DataFrame, vector: str = "vector") -> DataFrame:
+    """Vectors with each slot multiplied by its weight; `weights` is the one row of `slot_weights`.
+
+    It holds a number for each slot of a vector, so it is read once and sent as a constant of the query.
+    """
+    numbered = vectors.withColumn("_weights", weights.select("weights").scalar())
+    return numbered.withColumn(vector, F.zip_with(vector, "_weights", lambda n, w: (n * w).cast("float"))).drop("_weights")

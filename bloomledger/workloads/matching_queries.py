@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from bloomledger import fixed_values as fv
-from bloomledger.functions.vectors import DIMENSIONS, cosine
+from bloomledger.functions.vectors import DIMENSIONS, cosine, slot_weights, weighted
 from bloomledger.operators.adjudication import MatchRules, adjudicate, judge
 from bloomledger.operators.similarity import top_k
 from bloomledger.plans import matching as mt
@@ -174,6 +174,14 @@ def vectorise_names(spark, sf_dir):
     return slots.filter(F.col("n") != 0).select("name", "slot", F.col("n").cast("int").alias("n"))
 
 
+def vectorise_weighted(spark, sf_dir):
+    """Non-zero slots of the sellers' names, weighted by how few names of the catalog use them."""
+    weights = slot_weights(mt.vectorise(own_catalog(spark, sf_dir)))
+    vectors = weighted(mt.vectorise(seller_products(spark, sf_dir)), weights)
+    slots = vectors.select("name", F.posexplode_outer("vector").alias("slot", "value"))
+    return slots.filter(F.col("value") != 0).select("name", "slot", F.round("value", 4).alias("value"))
+
+
 def _slots_sql(names: str) -> str:
     """`name`, `slot`, `n` rows of the trigram vectors of a query giving `name`."""
     return rf"""
@@ -189,6 +197,12 @@ _OWN_NAMES = f"SELECT DISTINCT {_OWN_NAME} AS name FROM part"
 
 VECTORISE_NAMES = _slots_sql(_SELLER_NAMES)
 
+VECTORISE_WEIGHTED = f"""
+WITH used AS (SELECT slot, count(*) AS uses FROM ({_slots_sql(_OWN_NAMES)}) GROUP BY slot),
+total AS (SELECT count(*) AS names FROM ({_OWN_NAMES}) WHERE name IS NOT NULL)
+SELECT name, slot, round(CAST(n * (ln(CAST(1 + names AS DOUBLE) / (1 + coalesce(uses, 0))) + 1) AS FLOAT), 4) AS value
+FROM ({VECTORISE_NAMES}) CROSS JOIN total LEFT JOIN used USING (slot)"""
+
 # `c` is materialised: the ranked candidates of all names.
 _CANDIDATES = f"""
 q AS ({_slots_sql(_SELLER_NAMES)}), o AS ({_slots_sql(_OWN_NAMES)}),
@@ -340,6 +354,7 @@ QUERIES = {
     "pair_cosine": Query(pair_cosine, PAIR_COSINE),
     "catalog_build": Query(catalog_build, CATALOG_BUILD),
     "vectorise_names": Query(vectorise_names, VECTORISE_NAMES),
+    "vectorise_weighted": Query(vectorise_weighted, VECTORISE_WEIGHTED),
     "match_candidates": Query(match_candidates, MATCH_CANDIDATES),
     "match_incremental": Query(match_incremental, MATCH_CANDIDATES),
     "kept_decisions": Query(kept_decisions, MATCH_DECISION),

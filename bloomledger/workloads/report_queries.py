@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from bloomledger.functions.text import count_line
 from bloomledger.operators import analytics as an
+from bloomledger.operators.asof import as_of_join, validity_ranges
 from bloomledger.operators.filters import first_rows
 from bloomledger.sinks import tables as tb
 from bloomledger.workloads.common import Query, table
@@ -235,6 +236,25 @@ PRUNE_EMPTY_COLUMNS = " UNION ALL ".join(
 )
 
 
+def mapping_as_of(spark, sf_dir):
+    """The variety of each line as of its ship date: suppliers as products, orders as the mapping's history."""
+    history = table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("product"), F.col("o_orderpriority").alias("variety_key"), F.col("o_orderdate").alias("since")
+    )
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.col("l_suppkey").alias("product"), F.col("l_shipdate").alias("day")
+    )
+    ranges = validity_ranges(history, ["product"], "variety_key", "since")
+    return as_of_join(lines, ranges, ["product"], "variety_key", "day").drop("day")
+
+
+MAPPING_AS_OF = """
+SELECT l_orderkey, l_linenumber, l_suppkey AS product, variety_key
+FROM lineitem ASOF LEFT JOIN (
+  SELECT o_custkey, o_orderdate, max(o_orderpriority) AS variety_key FROM orders GROUP BY o_custkey, o_orderdate
+) ON l_suppkey = o_custkey AND l_shipdate >= o_orderdate"""
+
+
 def first_n_ordered(spark, sf_dir):
     """A plain limit: the first rows of a stated order."""
     lines = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_orderkey", "l_linenumber")
@@ -246,6 +266,7 @@ SELECT l_partkey, l_suppkey, l_orderkey, l_linenumber FROM lineitem ORDER BY ALL
 
 QUERIES = {
     "price_mapping_join": Query(price_mapping_join, PRICE_MAPPING_JOIN),
+    "mapping_as_of": Query(mapping_as_of, MAPPING_AS_OF),
     "new_products": Query(new_products, NEW_PRODUCTS),
     "source_summary": Query(source_summary, SOURCE_SUMMARY),
     "summary_text": Query(summary_text, SUMMARY_TEXT),
