@@ -8,6 +8,7 @@ from bloomledger import fixed_values as fv
 from bloomledger.functions import measures as ms
 from bloomledger.functions import text as tx
 from bloomledger.operators.filters import has_no_keyword, not_in_keys
+from bloomledger.plans.names import read_names, unread_names, with_names
 from bloomledger.workloads.common import (
     FROM_LINES_WITH_PARTS,
     LISTING_NAMES_SQL,
@@ -238,9 +239,18 @@ SELECT * FROM (SELECT p_partkey, {_KEYWORD_NAME} AS variety_name, {_KEYWORD_GROU
 WHERE variety_name NOT ILIKE '%bouquet%' AND variety_name NOT ILIKE '%box%' AND variety_name NOT ILIKE '%total%'
   AND common_name NOT ILIKE '%bouquet%' AND common_name NOT ILIKE '%box%' AND common_name NOT ILIKE '%total%'"""
 
+def clean_by_dictionary(spark, sf_dir):
+    """Clean names of all listings, by a dictionary whose earlier part was read before."""
+    listings = listing_names(spark, sf_dir)
+    known = read_names(listings.filter(F.length("raw_name") % 4 != 0))
+    dictionary = known.unionByName(read_names(unread_names(listings, known)))
+    return with_names(listings, dictionary).select(*_KEY, "raw_name", "clean_name")
+
+
 QUERIES = {
     "clean_safe": Query(clean_safe, CLEAN_SAFE),
     "clean_aggressive": _over_names("clean_name", tx.aggressive_clean, sql_aggressive_clean),
+    "clean_by_dictionary": Query(clean_by_dictionary, _over_names("clean_name", tx.aggressive_clean, sql_aggressive_clean).sql),
     "stem_length": _over_names("stem_length", ms.stem_length, sql_stem_length),
     "stems_per_unit": _over_names("stems_per_unit", ms.stems_per_unit, sql_stems_per_unit),
     "merged_length": _over_names("merged_length", ms.merged_or_range_length, sql_merged_or_range),
