@@ -241,7 +241,6 @@ def _score(a: str, left: str, right: str) -> Column:
     whole = lambda name: F.col(name).cast("decimal(18,0)")
     above = whole(a) * whole(a) * F.lit(_SCALE).cast("decimal(7,0)")
     below = whole(left) * whole(right)
-    # Each is computed once more as text in no place: both are columns of decimals.
     return F.call_function("div", above, below).cast("long")
 
 
@@ -296,6 +295,12 @@ def _triples(texts: DataFrame, pairs: DataFrame, often, right: DataFrame, left:
 # --- branch and bound ---------------------------------------------------------------------
 
 
+def _by_language(rows: DataFrame, languages: DataFrame) -> DataFrame:
+    """Rows with what a settled table says of their language; it is broadcast if it has few rows."""
+    about = languages.withColumnRenamed("lang", "of_lang")
+    return with_small(rows, about, F.col("lang") == F.col("of_lang")).drop("of_lang")
+
+
 def _levels(pairs: DataFrame, wanted: DataFrame) -> DataFrame:
     """lang, level: the greatest score that as many pairs as `wanted` (lang, many) reach, else 0.
 
@@ -314,24 +319,23 @@ def _survivors(pairs: DataFrame, triples: DataFrame, levels: DataFrame, share: i
     heads = triples.select("h1", "h2", "a")
     tails = triples.select(F.col("h2").alias("h1"), F.col("h3").alias("h2"), "a")
     longer = heads.unionByName(tails).groupBy("h1", "h2").agg(F.max("a").alias("longest"))
-    high = pairs.join(F.broadcast(levels), "lang").filter(F.col("score") >= F.col("level"))
+    high = _by_language(pairs, levels).filter(F.col("score") >= F.col("level"))
     high = high.join(longer, ["h1", "h2"], "left")
     high = high.filter(F.coalesce(100 * F.col("longest") < share * F.col("a"), F.lit(True)))
     none = F.lit(None).cast("long").alias("h3")
     two = high.select("lang", "h1", "h2", none, "a", F.col("f1").alias("l"), F.col("f2").alias("r"), "score")
-    three = triples.join(F.broadcast(levels), "lang").filter(F.col("score") >= F.col("level"))
+    three = _by_language(triples, levels).filter(F.col("score") >= F.col("level"))
     return two.unionByName(three.select(two.columns))
 
 
 def _between(pairs: DataFrame, column: str, levels: DataFrame) -> DataFrame:
     """Pairs whose `column` is at their language's level or above, and below its level before."""
-    met = pairs.join(F.broadcast(levels), "lang")
+    met = _by_language(pairs, levels)
     return met.filter((F.col(column) >= F.col("level")) & (F.col("before").isNull() | (F.col(column) < F.col("before"))))
 
 
 def _settled(texts: DataFrame, pairs: DataFrame, top: int, least: int, share: int, step: int) -> DataFrame:
     """Survivors among which are the best `top` of every language, ties of the last included."""
-    spark = texts.sparkSession
     pair_bits = _bit_set(pairs.select(_pair_hash_column("h1", "h2").alias("h")))
     languages = settle(pairs.select("lang").distinct())
     levels = _levels(pairs, languages.withColumn("many", F.lit(top)))
@@ -348,7 +352,7 @@ def _settled(texts: DataFrame, pairs: DataFrame, top: int, least: int, share: in
         short = settle(short.select("lang", F.col("level").alias("before")))
         if not short.limit(1).count():
             return found
-        taken = pairs.join(F.broadcast(short), "lang").filter(F.col("score") >= F.col("before"))
+        taken = _by_language(pairs, short).filter(F.col("score") >= F.col("before"))
         wanted = settle(taken.groupBy("lang").agg((F.count("*") * GROWTH).alias("many")))
         open_levels = settle(_levels(pairs, wanted).join(short, "lang"))
         levels = settle(
@@ -356,7 +360,6 @@ def _settled(texts: DataFrame, pairs: DataFrame, top: int, least: int, share: in
                 "lang", F.coalesce("lower", "level").alias("level"), "before"
             )
         )
-        spark.sparkContext.setJobDescription(None)
 
 
 def collocations(
@@ -383,7 +386,7 @@ def collocations(
     phrases = spelled.withColumn("phrase", F.array_join(F.transform("words", lambda w: w["word"]), " "))
     order = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), "phrase")
     ranked = phrases.withColumn("rank", F.row_number().over(order).cast("long")).filter(F.col("rank") <= top)
-    return ranked.join(F.broadcast(totals), "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    return _by_language(ranked, totals).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
