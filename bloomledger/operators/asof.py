@@ -33,24 +33,26 @@ def as_of_join(
     """Rows with the value whose range their time `at` lies in (null without one).
 
     ranges: as `validity_ranges` gives them; those of one key do not overlap.  Times are dates
-    or timestamps.  Ranges are cut at the borders of slices of `days` days, and the join is by
-    key and slice: a row meets only the ranges of its own slice, a range is sent to each slice
-    between its ends (inside the times that rows have), and a hot product is spread over its
-    slices, whose rows adaptive execution splits further.  Rows without a key or time stay out
-    of the join.
+    or timestamps.  Times are cut into slices of `days` days, and the join is by key and slice: a
+    row meets only the ranges of its own slice, and a hot product is spread over its slices, whose
+    rows adaptive execution splits further.  A range is sent only to slices in which its key has
+    rows, so what is sent is at most one range for each such key and slice and one more for each
+    change.  Rows without a key or time stay out of the join.
     """
     others = [c for c in rows.columns if c != value]
     usable = F.col(at).isNotNull()
     for column in key:
         usable &= F.col(column).isNotNull()
-    times = rows.filter(usable).agg(F.min(at).alias("first"), F.max(at).alias("last"))
-    first, last = times.select(_slice(F.col("first"), days)).scalar(), times.select(_slice(F.col("last"), days)).scalar()
-    begin = F.greatest(_slice(F.col("valid_from"), days), first)
-    end = F.least(F.coalesce(_slice(F.col("valid_to"), days), last), last)
-    cut = ranges.withColumns({"_begin": begin, "_end": end}).filter("_begin <= _end")
-    cut = cut.select(*key, value, "valid_from", "valid_to", F.explode(F.sequence("_begin", "_end")).alias("_slice"))
     met = rows.filter(usable).select(*others, _slice(F.col(at), days).alias("_slice"))
-    cut = cut.withColumnsRenamed({c: f"_key_{i}" for i, c in enumerate(key)} | {"_slice": "_range_slice", value: "_value"})
+    wanted = met.select(*[F.col(c).alias(f"_key_{i}") for i, c in enumerate(key)], F.col("_slice").alias("_range_slice")).distinct()
+    spans = ranges.select(
+        *[F.col(c).alias(f"_of_{i}") for i, c in enumerate(key)], F.col(value).alias("_value"), "valid_from", "valid_to",
+        _slice(F.col("valid_from"), days).alias("_begin"), _slice(F.col("valid_to"), days).alias("_end"),
+    )
+    meets = (F.col("_begin") <= F.col("_range_slice")) & (F.col("_end").isNull() | (F.col("_range_slice") <= F.col("_end")))
+    for i in range(len(key)):
+        meets &= F.col(f"_key_{i}") == F.col(f"_of_{i}")
+    cut = wanted.join(spans, meets).select(*[f"_key_{i}" for i in range(len(key))], "_range_slice", "_value", "valid_from", "valid_to")
     same = met["_slice"] == F.col("_range_slice")
     for i, column in enumerate(key):
         same &= met[column] == F.col(f"_key_{i}")

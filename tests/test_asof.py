@@ -47,3 +47,18 @@ def test_repeated_values_open_no_range(spark):
     got = sorted((r.v, r.valid_from, r.valid_to) for r in ranges.collect() if r.valid_to)
     assert got == [("x", _day(0), _day(2)), ("y", _day(2), _day(4)), ("y", _day(6), _day(7))]
     assert [(r.v, r.valid_from) for r in ranges.collect() if not r.valid_to] == [("x", _day(7))]
+
+
+def test_ranges_go_only_to_slices_with_rows(spark):
+    """A range over twenty years is not sent to each of its slices, and all rows still find it."""
+    ranges = spark.createDataFrame(
+        [("a", "red", dt.date(1990, 1, 1), dt.date(2010, 1, 1)), ("a", "blue", dt.date(2010, 1, 1), None), ("b", "white", dt.date(1995, 5, 5), None)],
+        "product string, variety string, valid_from date, valid_to date",
+    )
+    days = [dt.date(1989, 12, 31), dt.date(1990, 1, 1), dt.date(1999, 7, 7), dt.date(2009, 12, 31), dt.date(2010, 1, 1), dt.date(2030, 1, 1)]
+    rows = spark.createDataFrame([(p, d) for p in ("a", "b", "c") for d in days], "product string, day date")
+    joined = as_of_join(rows, ranges, ["product"], "variety", "day")
+    assert "Generate" not in joined._jdf.queryExecution().optimizedPlan().toString()
+    expected = {("a", days[0]): None, **{("a", d): "red" for d in days[1:4]}, **{("a", d): "blue" for d in days[4:]}}
+    expected |= {("b", d): "white" if d >= dt.date(1995, 5, 5) else None for d in days} | {("c", d): None for d in days}
+    assert {(r["product"], r["day"]): r["variety"] for r in joined.collect()} == expected
