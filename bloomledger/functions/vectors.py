@@ -43,7 +43,7 @@ def trigram_vector(name: Column, dimensions: int = DIMENSIONS) -> Column:
 
     def dense(found: Column) -> Column:
         used = F.array_distinct(found)
-        counts = F.transform(used, lambda u: F.size(F.filter(found, lambda s: s == u)))
+        counts = F.transform(used, lambda u: F.size(found) - F.size(F.array_remove(found, u)))
         return _bind(
             F.map_from_arrays(used, counts),
             lambda by_slot: F.transform(

@@ -18,9 +18,14 @@ Decider = Callable[[DataFrame], DataFrame]
 
 
 def vectorise(names: DataFrame, name: str = "product_name", vectoriser: Vectoriser = trigram_vector) -> DataFrame:
-    """`name`, `vector` of each distinct name; vectors may also come from elsewhere."""
+    """`name`, `vector` of each distinct name; vectors may also come from elsewhere.
+
+    Names are few bytes and much work each, so they are dealt out over all cores by a stated
+    number of partitions, which adaptive execution does not merge by their size.
+    """
     distinct = names.select(F.col(name).alias("name")).filter(F.col("name").isNotNull()).distinct()
-    return distinct.withColumn("vector", vectoriser(F.col("name")).cast("array<float>"))
+    spread = distinct.repartition(2 * names.sparkSession.sparkContext.defaultParallelism)
+    return spread.withColumn("vector", vectoriser(F.col("name")).cast("array<float>"))
 
 
 def candidates(query_vectors: DataFrame, catalog_vectors: DataFrame, k: int = fv.CANDIDATES_PER_NAME) -> DataFrame:

@@ -134,3 +134,11 @@ def test_matching_run(spark, tmp_path):
         assert spark.read.parquet(f"{root}/vectors/products").count() == 2
     exported = spark.read.option("header", True).csv(f"{root}/matches.csv/as_of=2024-02-01")
     assert exported.count() == 4
+
+
+def test_names_are_vectorised_on_all_cores(spark):
+    """A few bytes of names are not merged into one task; the vectors are those of every name."""
+    names = spark.createDataFrame([(f"Rose {i}",) for i in range(200)] * 2 + [(None,)], "product_name string").coalesce(1)
+    vectors = mt.vectorise(names)
+    assert vectors.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert sorted(r["name"] for r in vectors.collect()) == sorted(f"Rose {i}" for i in range(200))
